@@ -112,7 +112,7 @@ class Customer360:
     """The tables of one run, each built and written on first use.
 
     ``store(name, df)`` writes a table and returns it as a scan, so every later step starts from
-    files and not from the whole lineage.
+    files and not from the whole lineage; ``work`` does so for tables that only serve the run.
     """
 
     def __init__(
@@ -121,9 +121,11 @@ class Customer360:
         store: Store,
         match_on: Mapping[str, str] = entity.MATCH_ON,
         schemas: Mapping[str, T.StructType] | None = None,
+        work: Store | None = None,
     ):
         self.staging = staging
         self.store = store
+        self.work = work or store
         self.match_on = match_on
         self.schemas = schemas or curated_schema()
 
@@ -133,15 +135,15 @@ class Customer360:
     @cached_property
     def customers(self) -> DataFrame:
         """Raw customers, one row per id."""
-        return self.store("customers_by_id", dedup.keep_most_complete(self.staging.customers, "customer_id"))
+        return self.work("customers_by_id", dedup.keep_most_complete(self.staging.customers, "customer_id"))
 
     @cached_property
     def id_crosswalk(self) -> DataFrame:
-        return entity.id_crosswalk(entity.match_keys(self.customers), self.store, self.match_on)
+        return entity.id_crosswalk(entity.match_keys(self.customers), self.work, self.match_on)
 
     @cached_property
     def clusters(self) -> DataFrame:
-        return self.store(
+        return self.work(
             "entity_clusters", entity.entity_clusters(self.customers.select("customer_id"), self.id_crosswalk)
         )
 

@@ -15,9 +15,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key's partition even where that costs one more shuffle above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet is compressed: judge by its size in memory what is small enough to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
-_local_roots: dict[str, str] = {}
+_roots: dict[str, str] = {}
 
 
 def build_session(app_name: str = "recon360", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,18 +39,28 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables, below the shared one that ``spark.checkpoint.dir`` names.
+    """Folder of this application's intermediate tables, below the one ``spark.checkpoint.dir`` names.
 
-    Only a local session without that setting gets a temporary folder, removed at exit.
+    Only a local session without that setting gets a temporary folder. What a local session leaves
+    on the local disk is removed when the process ends.
     """
     app_id = spark.sparkContext.applicationId
+    if app_id in _roots:
+        return _roots[app_id]
+    local = spark.sparkContext.master.startswith("local")
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/recon360-{app_id}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared and not local:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if app_id not in _local_roots:
-        folder = tempfile.mkdtemp(prefix="recon360-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        _local_roots[app_id] = folder
-    return _local_roots[app_id]
+    root = f"{(shared or tempfile.gettempdir()).rstrip('/')}/recon360-{app_id}"
+    if local and "://" not in root:
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    _roots[app_id] = root
+    return root
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, wherever they are."""
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
