@@ -15,7 +15,6 @@ from recon360.functions.text import is_country_variant, is_full_state_name
 from recon360.model import CURATED_COLUMNS
 from recon360.operators import dedup, predicates
 from recon360.operators.references import dangling
-from recon360.plans import rules
 from recon360.plans.conform import Customer360
 
 KEYS = {name: columns[0] for name, columns in CURATED_COLUMNS.items() if name != "dq_exception_report"}
@@ -58,6 +57,11 @@ def _count(name: str, df: DataFrame) -> DataFrame:
     return _measure(df, **{name: F.count(F.lit(1))})
 
 
+def _reported(name: str, exceptions: DataFrame, rule_id: str) -> DataFrame:
+    """How many records a rule reported, each counted once."""
+    return _count(name, exceptions.where(F.col("rule_id") == rule_id).select("record_key").distinct())
+
+
 def row_accounting(t: Customer360, exceptions: DataFrame) -> DataFrame:
     """Staging rows = curated rows + rows removed, and nothing removed or unresolved is unreported."""
     covered = "exceptions_cover_all__expected"
@@ -89,25 +93,25 @@ def row_accounting(t: Customer360, exceptions: DataFrame) -> DataFrame:
     return _checks(*measures, at_least=("exceptions_cover_all",))
 
 
-def referential(t: Customer360) -> DataFrame:
+def referential(t: Customer360, exceptions: DataFrame) -> DataFrame:
     """Keys that are set have a parent, and keys that are not set were reported."""
     links = [
-        ("order_customer", t.fact_order, "customer_key", t.dim_customer, "customer_key", rules.dq005),
-        ("order_product", t.fact_order, "product_key", t.dim_product, "product_key", rules.dq006),
-        ("payment_order", t.fact_payment, "order_key", t.fact_order, "order_key", rules.dq009),
-        ("ticket_customer", t.fact_customer_issue, "customer_key", t.dim_customer, "customer_key", rules.dq012),
+        ("order_customer", t.fact_order, "customer_key", t.dim_customer, "customer_key", "DQ005"),
+        ("order_product", t.fact_order, "product_key", t.dim_product, "product_key", "DQ006"),
+        ("payment_order", t.fact_payment, "order_key", t.fact_order, "order_key", "DQ009"),
+        ("ticket_customer", t.fact_customer_issue, "customer_key", t.dim_customer, "customer_key", "DQ012"),
     ]
     measures = []
     for name, fact, key, parent, parent_key, rule in links:
         measures += [
             _count(f"{name}_dangling__observed", dangling(fact.select(key), key, parent.select(parent_key), parent_key)),
             _measure(fact, **{f"{name}_unresolved__observed": _where(F.col(key).isNull())}),
-            _count(f"{name}_unresolved__expected", rule(t).select("record_key").distinct()),
+            _reported(f"{name}_unresolved__expected", exceptions, rule),
         ]
     return _checks(*measures)
 
 
-def amounts(t: Customer360) -> DataFrame:
+def amounts(t: Customer360, exceptions: DataFrame) -> DataFrame:
     revenue = F.sum(F.when(predicates.completed(), F.col("gross_order_amount")))
     unreadable = _where(predicates.completed() & F.col("quantity").isNull())
     mismatched = t.fact_payment.join(
@@ -125,14 +129,14 @@ def amounts(t: Customer360) -> DataFrame:
             active_price_not_positive__observed=_where("active_flag = 1 and (unit_price is null or unit_price <= 0)"),
         ),
         _count("settled_mismatch__observed", mismatched),
-        _count("non_positive_quantity__expected", rules.dq007(t)),
-        _count("total_mismatch__expected", rules.dq008(t)),
-        _count("settled_mismatch__expected", rules.dq010(t)),
+        _reported("non_positive_quantity__expected", exceptions, "DQ007"),
+        _reported("total_mismatch__expected", exceptions, "DQ008"),
+        _reported("settled_mismatch__expected", exceptions, "DQ010"),
         above=("completed_revenue_positive",),
     )
 
 
-def parsing(t: Customer360) -> DataFrame:
+def parsing(t: Customer360, exceptions: DataFrame) -> DataFrame:
     measures = [
         _measure(df, **{f"{name}_key_missing__observed": _where(F.col(KEYS[name]).isNull())})
         for name, df in t.curated().items()
@@ -142,7 +146,7 @@ def parsing(t: Customer360) -> DataFrame:
         *measures,
         _measure(t.fact_order, order_date_missing__observed=_where("order_date is null")),
         _measure(t.fact_customer_issue, ticket_date_missing__observed=_where("created_date is null")),
-        _count("ticket_date_missing__expected", rules.dq011(t)),
+        _reported("ticket_date_missing__expected", exceptions, "DQ011"),
         _measure(t.staging.support_tickets, ticket_date_missing__expected=_where(blank)),
         _measure(t.dim_product, unit_price_missing__observed=_where("unit_price is null")),
         _measure(
@@ -153,6 +157,11 @@ def parsing(t: Customer360) -> DataFrame:
     )
 
 
+def all_checks(t: Customer360, exceptions: DataFrame) -> DataFrame:
+    parts = [check(t, exceptions) for check in (row_accounting, referential, amounts, parsing)]
+    return reduce(DataFrame.unionByName, [*parts, key_unique(t)])
+
+
 def key_unique(t: Customer360) -> DataFrame:
     return _checks(
         *[_count(f"{name}_key_repeated__observed", dedup.duplicate_keys(df, KEYS[name])) for name, df in t.curated().items()],

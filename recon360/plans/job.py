@@ -6,7 +6,6 @@ import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from recon360.model import CURATED_COLUMNS, STAGING_COLUMNS, Staging, curated_schema
 from recon360.operators import entity
@@ -14,7 +13,7 @@ from recon360.plans import answers, checks, rules
 from recon360.plans.conform import Customer360, fit
 from recon360.session import prepare, scratch_root
 from recon360.sources import files, sinks
-from recon360.sources.store import TableStore
+from recon360.sources.store import TableStore, constant_rows
 
 log = logging.getLogger(__name__)
 
@@ -98,13 +97,13 @@ def run(
         log.warning("%d questions for %d answers", len(questions), len(answers.ANSWERS))
     tables["answers"] = store(
         "answer_states",
-        spark.createDataFrame(
-            [(i, n, q, states[n]) for i, (q, n) in enumerate(zip(questions, answers.ANSWERS), start=1)],
-            "position int, answer string, question string, state string",
+        constant_rows(
+            spark,
+            [
+                {"position": i, "answer": name, "question": question, "state": states[name]}
+                for i, (question, name) in enumerate(zip(questions, answers.ANSWERS), start=1)
+            ],
         ),
     )
-    validation = checks.row_accounting(t, found)
-    for check in (checks.referential, checks.amounts, checks.parsing, checks.key_unique):
-        validation = validation.unionByName(check(t))
-    tables["checks"] = store("checks", validation.orderBy(F.col("check_name")))
+    tables["checks"] = store("checks", checks.all_checks(t, found).orderBy("check_name"))
     return tables

@@ -300,8 +300,8 @@ QUERIES: dict[str, Query] = {
     "dq_detail": lambda run: sinks.sorted_by(rules.detail(run.exceptions, DEFAULT_RULES), "rule_id", "record_key"),
     **answers.ANSWERS,
     "check_row_accounting": lambda run: checks.row_accounting(run, run.exceptions),
-    "check_referential": checks.referential,
-    "check_amounts": checks.amounts,
-    "check_parsing": checks.parsing,
+    "check_referential": lambda run: checks.referential(run, run.exceptions),
+    "check_amounts": lambda run: checks.amounts(run, run.exceptions),
+    "check_parsing": lambda run: checks.parsing(run, run.exceptions),
     "check_key_unique": checks.key_unique,
 }

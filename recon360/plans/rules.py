@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from recon360.model import EXCEPTION_COLUMNS, SEQ, Rule
 from recon360.operators import dedup, predicates
 from recon360.operators.references import trace_to_raw
 from recon360.plans.conform import Customer360
+from recon360.sources.store import constant_rows
 
 
 def _found(df: DataFrame, key: str, template: str, **values: Column) -> DataFrame:
@@ -222,11 +224,7 @@ def exceptions(t: Customer360, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _catalog(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    rows = [(place, r.rule_id, r.dataset, r.severity, r.rule_description, r.suggested_action) for place, r in enumerate(rules)]
-    return spark.createDataFrame(
-        rows,
-        "place int, rule_id string, dataset string, severity string, rule_description string, suggested_action string",
-    )
+    return constant_rows(spark, [{"place": place, **asdict(rule)} for place, rule in enumerate(rules)])
 
 
 def _counts(found: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -16,6 +16,11 @@ from recon360.operators import dedup
 from recon360.plans.conform import Store
 
 
+LINE_COLUMNS = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
+]
+
+
 def _pad(c: Column) -> Column:
     return F.lpad(c.cast("string"), 9, "0")
 
@@ -101,9 +106,7 @@ def bind_products(part: DataFrame) -> DataFrame:
 
 def bind_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Order rows plus the helper columns ``_orderkey``, ``_orderdate`` and ``_total``."""
-    lines = lineitem.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"
-    )
+    lines = lineitem.select(*LINE_COLUMNS)
     heads = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     prices = part.select("p_partkey", "p_retailprice")
     rows = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).join(
@@ -201,6 +204,11 @@ class BoundStaging:
     def _table(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Give every core a share of an input with few splits; larger inputs pass as they are."""
+        cores = self._spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     @cached_property
     def customers(self) -> DataFrame:
         return bind_customers(self._table("customer"))
@@ -211,8 +219,8 @@ class BoundStaging:
 
     @cached_property
     def _orders(self) -> DataFrame:
-        rows = bind_orders(self._table("lineitem"), self._table("orders"), self._table("part"))
-        return self._store("staging_orders", rows)
+        lines = self._spread(self._table("lineitem").select(*LINE_COLUMNS))
+        return self._store("staging_orders", bind_orders(lines, self._table("orders"), self._table("part")))
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def constant_rows(spark: SparkSession, rows: Sequence[dict[str, Any]]) -> DataFrame:
+    """A few fixed rows as literals of the plan."""
+    structs = [F.struct(*[F.lit(v).alias(k) for k, v in row.items()]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 class TableStore:

@@ -1,0 +1,131 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from recon360.model import DEFAULT_RULES, SEQ
+from recon360.plans import rules
+from recon360.plans.conform import fit
+from recon360.model import curated_schema
+from recon360.sources import files, sinks
+from recon360.streaming import incremental
+
+
+def write(path, text):
+    path.write_text(text, encoding="utf-8", newline="")
+    return str(path)
+
+
+def rows(df, *columns):
+    return [tuple(r) for r in df.orderBy(SEQ).select(*(columns or [c for c in df.columns if c != SEQ])).collect()]
+
+
+def test_csv_is_all_text_in_file_order(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'id,note,n\n2,"a ""b"", c",007\n1,,1.0\n3,"",x\n')
+    df = files.scan_csv(spark, path)
+    assert rows(df) == [("2", 'a "b", c', "007"), ("1", "", "1.0"), ("3", "", "x")]
+    assert all(t == "string" for c, t in df.dtypes if c != SEQ)
+
+
+def test_csv_fields_may_span_lines(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'id,note\n1,"two\nlines"\n2,"é ü"\n')
+    assert rows(files.scan_csv(spark, path)) == [("1", "two\nlines"), ("2", "é ü")]
+
+
+def test_csv_keeps_blanks_and_ignores_surplus_fields(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,note\n1, x \n2,y,zzz\n")
+    assert rows(files.scan_csv(spark, path)) == [("1", " x "), ("2", "y")]
+
+
+def test_file_order_survives_splits(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    n = 4000
+    for part in range(3):
+        write(folder / f"part-{part}.csv", "id,pad\n" + "".join(f"{part * n + i},{'x' * 40}\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = files.scan_csv(spark, str(folder))
+        assert df.rdd.getNumPartitions() > 6
+        assert [int(r[0]) for r in rows(df, "id")] == list(range(3 * n))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_jsonl(spark, tmp_path):
+    lines = [{"a": "x", "n": 1}, {"n": 2.5, "b": None, "o": {"k": [1]}}, {"a": None, "n": True}]
+    text = "\n".join([json.dumps(lines[0]), "", json.dumps(lines[1]), "   ", json.dumps(lines[2]), ""])
+    df = files.scan_jsonl(spark, write(tmp_path / "a.jsonl", text))
+    assert set(df.columns) == {"a", "b", "n", "o", SEQ}
+    assert rows(df, "a", "b", "n", "o") == [("x", None, "1", None), (None, None, "2.5", '{"k":["1"]}'), (None, None, "true", None)]
+
+
+def test_broken_json_fails(spark, tmp_path):
+    path = write(tmp_path / "a.jsonl", '{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception):
+        files.scan_jsonl(spark, path).collect()
+
+
+def test_empty_jsonl_gets_declared_columns(spark, tmp_path):
+    df = files.with_columns(files.scan_jsonl(spark, write(tmp_path / "a.jsonl", "")), ["a", "b"])
+    assert df.count() == 0 and set(df.columns) == {"a", "b", SEQ}
+
+
+def test_rule_catalog(spark, tmp_path):
+    head = "rule_id,dataset,rule_description,severity,suggested_action\n"
+    body = 'DQ004,orders,dup,Low,"fix, now"\nDQ777,orders,unknown,Low,\nDQ001,customers,first,Low,\nDQ004,orders,again,High,\n'
+    loaded = files.load_rules(spark, write(tmp_path / "r.csv", head + body), list(rules.RULES))
+    assert [(r.rule_id, r.rule_description, r.severity) for r in loaded] == [("DQ004", "again", "High"), ("DQ001", "first", "Low")]
+    assert [r.rule_id for r in files.load_rules(spark, None, list(rules.RULES))] == [r.rule_id for r in DEFAULT_RULES]
+
+
+def test_questions(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'Questions\n"one, two?"\n""\n  three?  \nfour?\n')
+    assert files.load_questions(spark, path, 2) == ["one, two?", "three?"]
+
+
+def test_mapping_drives_the_schema(spark, tmp_path):
+    text = "target_table,target_column\nt1,unit_price\nt1,extra\nt2,a\nt1,active_flag\n"
+    mapping = files.load_mapping(spark, write(tmp_path / "m.csv", text))
+    assert mapping == {"t1": ["unit_price", "extra", "active_flag"], "t2": ["a"]}
+    schema = curated_schema(mapping)["t1"]
+    df = spark.createDataFrame([(1, "2.5")], "active_flag int, unit_price string")
+    fitted = fit(df, schema)
+    assert fitted.columns == mapping["t1"] and [t for _, t in fitted.dtypes] == ["decimal(18,4)", "string", "int"]
+    with pytest.raises(ValueError):
+        fit(df.withColumn("more", F.lit(1)), schema)
+
+
+def test_csv_sink_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("1", ' a "q" ', "x,y"), ("2", "", "l\nm")], "id string, a string, b string")
+    sinks.write_csv(df.coalesce(1), str(tmp_path / "out"))
+    assert rows(files.scan_csv(spark, str(tmp_path / "out"))) == [tuple(r) for r in df.collect()]
+
+
+def test_export_is_in_global_order(spark, tmp_path):
+    data = [(f"DQ{i % 3:03}", "d", f"K{i % 7}", "s", f"issue {i}", "") for i in range(300)]
+    df = spark.createDataFrame(data, "rule_id string, dataset string, record_key string, severity string, issue_description string, suggested_action string")
+    sinks.export_exceptions(df.repartition(5), str(tmp_path / "out"))
+    got = rows(files.scan_csv(spark, str(tmp_path / "out")))
+    assert [r[:1] + r[2:3] for r in got] == sorted(r[:1] + r[2:3] for r in got) and sorted(got) == sorted(data)
+
+
+def test_incremental_ingest(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    head = "product_id,product_name,category,unit_price,active_flag\n"
+    write(tmp_path / "in" / "1.csv", head + 'P1,"a\nb",c,1,Y\nP2,,c,2,N\n')
+    incremental.ingest_new_files(spark, "products", source, target, state)
+    write(tmp_path / "in" / "2.csv", head + "P0,late,c,3,Y\n")
+    incremental.ingest_new_files(spark, "products", source, target, state)
+    incremental.ingest_new_files(spark, "products", source, target, state)
+    got = rows(incremental.read_staging(spark, target), "product_id", "product_name")
+    assert got == [("P1", "a\nb"), ("P2", ""), ("P0", "late")]
+
+
+def test_incremental_tickets(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "1.jsonl", '{"ticket_id": "T1", "sentiment": null}\n{"ticket_id": "T2", "customer_id": "C"}\n')
+    incremental.ingest_new_files(spark, "support_tickets", source, target, state)
+    assert rows(incremental.read_staging(spark, target), "ticket_id", "customer_id", "sentiment") == [("T1", None, None), ("T2", "C", None)]
