@@ -75,29 +75,56 @@ def revenue_by_state(t: Customer360) -> DataFrame:
     )
 
 
-def tickets_vs_exceptions(t: Customer360) -> DataFrame:
-    """Negative tickets with the order and payment problems of their customer.
+def order_problems_per_customer(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """What orders left-joined to payments would count per customer, without building that join.
 
-    Tickets, orders and payments of one customer are never multiplied out: problems are counted per
-    order, then per customer, and only then meet the tickets.
+    Every order counts once as if unpaid; its payments then correct that: an order with n payments
+    stands in n joined rows and misses none. So orders cross the network once, only paid pairs are
+    joined, and neither a hot order nor a hot customer is gathered in one place.
     """
-    counted = {
+    flags = {
         "orders_with_total_mismatch": predicates.total_mismatch(),
-        "orders_missing_payment": predicates.missing_payment(),
-        "orders_with_payment_mismatch": predicates.payment_mismatch(),
+        "orders_missing_payment": predicates.completed(),
         "orders_with_suspicious_qty": predicates.suspicious_quantity(),
     }
-    orders = t.fact_order.where(F.col("customer_key").isNotNull()).select(
-        "order_key", "customer_key", "quantity", "order_status", "gross_order_amount", "order_amount_variance"
+    flagged = orders.where(F.col("customer_key").isNotNull()).select(
+        "customer_key",
+        "order_key",
+        "gross_order_amount",
+        *[F.coalesce(test, F.lit(False)).cast("long").alias(name) for name, test in flags.items()],
     )
-    per_order = (
-        orders_with_payments(orders, t.fact_payment)
-        .groupBy("customer_key", "order_key")
-        .agg(*[F.count_if(test).alias(name) for name, test in counted.items()])
+    unpaid = flagged.select(
+        "customer_key", F.lit(1).alias("orders_placed"), F.lit(0).alias("orders_with_payment_mismatch"), *flags
+    )
+    paid = (
+        payments.select("order_key", "payment_key", "payment_status", "payment_amount")
+        .join(flagged, "order_key")
+        .groupBy("customer_key", "order_key", *flags)
+        .agg(F.count(F.lit(1)).alias("_n"), F.count_if(predicates.payment_mismatch()).alias("orders_with_payment_mismatch"))
     )
-    per_customer = per_order.groupBy("customer_key").agg(
-        F.count("order_key").alias("orders_placed"), *[F.sum(name).alias(name) for name in counted]
+    more_rows = F.col("_n") - 1
+    correction = paid.select(
+        "customer_key",
+        F.lit(0).alias("orders_placed"),
+        "orders_with_payment_mismatch",
+        (F.col("orders_with_total_mismatch") * more_rows).alias("orders_with_total_mismatch"),
+        (-F.col("orders_missing_payment")).alias("orders_missing_payment"),
+        (F.col("orders_with_suspicious_qty") * more_rows).alias("orders_with_suspicious_qty"),
     )
+    counts = ["orders_placed", "orders_with_payment_mismatch", *flags]
+    return unpaid.unionByName(correction).groupBy("customer_key").agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def tickets_vs_exceptions(t: Customer360) -> DataFrame:
+    """Negative tickets with the order and payment problems of their customer.
+
+    Tickets, orders and payments of one customer are never multiplied out: problems are counted per
+    customer and only then meet the tickets.
+    """
+    counted = [
+        "orders_with_total_mismatch", "orders_missing_payment", "orders_with_payment_mismatch",
+        "orders_with_suspicious_qty",
+    ]
     # a ticket id that occurs twice would count its customer's rows twice
     tickets = (
         t.fact_customer_issue.where(predicates.negative_ticket())
@@ -105,9 +132,10 @@ def tickets_vs_exceptions(t: Customer360) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_times"))
     )
     names = t.dim_customer.select("customer_key", "full_name")
+    problems = order_problems_per_customer(t.fact_order, t.fact_payment)
     rows = (
         tickets.join(names, "customer_key", "left")
-        .join(per_customer, "customer_key", "left")
+        .join(problems, "customer_key", "left")
         .select(
             "ticket_id",
             "customer_key",
@@ -117,7 +145,7 @@ def tickets_vs_exceptions(t: Customer360) -> DataFrame:
             *[F.coalesce(F.col(name) * F.col("_times"), F.lit(0)).alias(name) for name in counted],
         )
     )
-    total = sum((F.col(name) for name in list(counted)[1:]), F.col(next(iter(counted))))
+    total = sum((F.col(name) for name in counted[1:]), F.col(counted[0]))
     return rows.orderBy(total.desc(), "ticket_id")
 
 
