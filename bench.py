@@ -1,4 +1,4 @@
-"""Time the pipeline steps and the headline queries; prints one JSON line.
+"""Time the build steps and the headline queries; prints one JSON line.
 
 Steps run in order in one session: each ``build_*`` entry writes that table once, the queries then
 read the written tables, as a scheduled run would.
@@ -67,7 +67,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "pipeline_and_headline_queries",
+                "metric": "build_and_headline_queries",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
