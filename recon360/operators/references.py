@@ -37,9 +37,9 @@ def crosswalk_remap(df: DataFrame, crosswalk: DataFrame, id_column: str) -> Data
 
 
 def trace_to_raw(curated: DataFrame, key: str, raw: DataFrame, raw_id: str, *raw_columns: str) -> DataFrame:
-    """Raw values behind curated rows, one output row per raw row with that id."""
+    """Curated rows with the raw values behind them, one output row per raw row with that id."""
     source = raw.select(F.col(raw_id).alias("_raw_id"), *raw_columns)
-    return curated.select(key).join(source, F.col(key) == F.col("_raw_id")).drop("_raw_id")
+    return curated.join(source, F.col(key) == F.col("_raw_id")).drop("_raw_id")
 
 
 def dangling(df: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:

@@ -169,6 +169,39 @@ class Customer360:
             "fact_customer_issue", fact_customer_issue(self.staging.support_tickets, self.clusters)
         )
 
+    def _trace(self, name: str, lost: DataFrame, raw: DataFrame, raw_id: str, *raw_columns: str) -> DataFrame:
+        """Raw values behind the few curated rows that lost something.
+
+        Those rows are written first: the join then knows their real size, and only ships the raw
+        table across the network when they are too many to send to it.
+        """
+        lost = self.work(f"lost_{name}", lost)
+        return self.work(f"trace_{name}", references.trace_to_raw(lost, lost.columns[0], raw, raw_id, *raw_columns))
+
+    @cached_property
+    def order_trace(self) -> DataFrame:
+        """Raw ids of orders without a known customer or product."""
+        lost = self.fact_order.where("customer_key is null or product_key is null").selectExpr(
+            "order_key", "customer_key is null as no_customer", "product_key is null as no_product"
+        )
+        return self._trace("orders", lost, self.staging.orders, "order_id", "customer_id", "product_id")
+
+    @cached_property
+    def payment_trace(self) -> DataFrame:
+        """Raw order ids of payments without a known order."""
+        lost = self.fact_payment.where("order_key is null").select("payment_key")
+        return self._trace("payments", lost, self.staging.payments, "payment_id", "order_id")
+
+    @cached_property
+    def ticket_trace(self) -> DataFrame:
+        """Raw customer ids and times of tickets without a known customer or a readable time."""
+        lost = self.fact_customer_issue.where("customer_key is null or created_date is null").select(
+            F.col("ticket_id").alias("ticket_key"),
+            F.col("customer_key").isNull().alias("no_customer"),
+            F.col("created_date").isNull().alias("no_date"),
+        )
+        return self._trace("tickets", lost, self.staging.support_tickets, "ticket_id", "customer_id", "created_ts")
+
     def curated(self) -> dict[str, DataFrame]:
         names = ["dim_customer", "dim_product", "fact_order", "fact_payment", "fact_customer_issue"]
         return {name: getattr(self, name) for name in names}

@@ -251,8 +251,7 @@ def orders_with_payments(run: Run) -> DataFrame:
 
 
 def trace_to_raw(run: Run) -> DataFrame:
-    lost = run.fact_order.where("customer_key is null or product_key is null")
-    return references.trace_to_raw(lost, "order_key", run.staging.orders, "order_id", "customer_id", "product_id")
+    return run.order_trace.select("order_key", "customer_id", "product_id")
 
 
 Query = Callable[[Run], DataFrame]

@@ -13,7 +13,6 @@ from recon360.functions.messages import message, shown, shown_amount
 from recon360.functions.text import is_country_variant, is_full_state_name, strip
 from recon360.model import EXCEPTION_COLUMNS, SEQ, Rule
 from recon360.operators import dedup, predicates
-from recon360.operators.references import trace_to_raw
 from recon360.plans.conform import Customer360
 from recon360.sources.store import constant_rows
 
@@ -79,9 +78,8 @@ def dq004(t: Customer360) -> DataFrame:
 
 
 def dq005(t: Customer360) -> DataFrame:
-    lost = t.fact_order.where("customer_key is null")
     return _found(
-        trace_to_raw(lost, "order_key", t.staging.orders, "order_id", "customer_id"),
+        t.order_trace.where("no_customer"),
         "order_key",
         "Order {key} references non-existent customer_id '{raw}'",
         raw=shown(F.col("customer_id")),
@@ -89,9 +87,8 @@ def dq005(t: Customer360) -> DataFrame:
 
 
 def dq006(t: Customer360) -> DataFrame:
-    lost = t.fact_order.where("product_key is null")
     return _found(
-        trace_to_raw(lost, "order_key", t.staging.orders, "order_id", "product_id"),
+        t.order_trace.where("no_product"),
         "order_key",
         "Order {key} references non-existent product_id '{raw}'",
         raw=shown(F.col("product_id")),
@@ -122,9 +119,8 @@ def dq008(t: Customer360) -> DataFrame:
 
 
 def dq009(t: Customer360) -> DataFrame:
-    orphans = t.fact_payment.where("order_key is null")
     return _found(
-        trace_to_raw(orphans, "payment_key", t.staging.payments, "payment_id", "order_id"),
+        t.payment_trace,
         "payment_key",
         "Payment {key} references non-existent order_id '{raw}'",
         raw=shown(F.col("order_id")),
@@ -147,20 +143,18 @@ def dq010(t: Customer360) -> DataFrame:
 
 
 def dq011(t: Customer360) -> DataFrame:
-    raw = t.staging.support_tickets.where(F.trim("created_ts") != "")
     return _found(
-        trace_to_raw(t.fact_customer_issue.where("created_date is null"), "ticket_id", raw, "ticket_id", "created_ts"),
-        "ticket_id",
+        t.ticket_trace.where(F.col("no_date") & (F.trim("created_ts") != "")),
+        "ticket_key",
         "Ticket {key} has unparseable created_ts: '{raw}'",
         raw=F.col("created_ts"),
     )
 
 
 def dq012(t: Customer360) -> DataFrame:
-    lost = t.fact_customer_issue.where("customer_key is null")
     return _found(
-        trace_to_raw(lost, "ticket_id", t.staging.support_tickets, "ticket_id", "customer_id"),
-        "ticket_id",
+        t.ticket_trace.where("no_customer"),
+        "ticket_key",
         "Ticket {key} references non-existent customer_id '{raw}'",
         raw=shown(F.col("customer_id")),
     )

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key's partition even where that costs one more shuffle above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where one side of a shuffled join stays below this in every partition.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Parquet is compressed: judge by its size in memory what is small enough to broadcast.
     "spark.sql.sources.fileCompressionFactor": "4.0",
 }
