@@ -3,6 +3,9 @@
 Two ids match when the normalised name agrees and so does the phone or the email. Instead of
 comparing pairs, every id is linked to the smallest id that shares a (name, phone) or (name, email)
 key: at most one link per id and key kind, and the same connected components as all pairs would give.
+
+Adaptive execution splits a hot key only where both sides of a join come straight from a shuffle, so
+every aggregate is written before it is joined back.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ def match_keys(customers: DataFrame) -> DataFrame:
     )
 
 
-def shared_key_links(keys: DataFrame, match_on: Mapping[str, str] = MATCH_ON) -> DataFrame:
+def shared_key_links(keys: DataFrame, store: Store, match_on: Mapping[str, str] = MATCH_ON) -> DataFrame:
     """(customer_id, linked_id, matched_on): each id to the smallest id with the same key."""
     kinds = [
         F.struct(F.lit(kind).alias("matched_on"), F.col(column).alias("value"))
@@ -42,6 +45,7 @@ def shared_key_links(keys: DataFrame, match_on: Mapping[str, str] = MATCH_ON) ->
         .where("_n > 1")
         .drop("_n")
     )
+    hubs = store("shared_keys", hubs)
     return (
         keyed.join(hubs, ["matched_on", "match_name", "value"])
         .where("customer_id > linked_id")
@@ -58,31 +62,35 @@ def _settled(edges: DataFrame) -> bool:
     return seen.where("up > 1 or (up = 1 and low = 1)").isEmpty()
 
 
-def _star_round(edges: DataFrame) -> DataFrame:
+def _star_round(edges: DataFrame, store: Store, number: int) -> DataFrame:
     """One large-star and one small-star step (Kiveris et al., SoCC 2014) on upper > lower edges.
 
     Both steps are a partial ``min`` per id and an equi-join back to the edge list; the edge list
     never grows, and a hub with very many edges is never gathered in one group.
     """
 
-    def lowest(e: DataFrame) -> DataFrame:
-        return e.groupBy(F.col("upper").alias("id")).agg(F.min("lower").alias("lowest"))
+    def lowest(name: str, e: DataFrame) -> DataFrame:
+        return store(
+            f"{name}_{number}", e.groupBy(F.col("upper").alias("id")).agg(F.min("lower").alias("lowest"))
+        )
 
     # large star: hang each id on the lowest neighbour of its lower end
-    hop = lowest(edges)
-    far = (
+    hop = lowest("lowest_before", edges)
+    far = store(
+        f"far_{number}",
         edges.join(hop, edges["lower"] == hop["id"], "left")
         .select("upper", F.coalesce("lowest", "lower").alias("lower"))
-        .distinct()
+        .distinct(),
     )
     # small star: hang all lower neighbours of an id on the lowest of them
-    hop = lowest(far)
+    hop = lowest("lowest_after", far)
     near = (
         far.join(hop, far["upper"] == hop["id"])
         .where(F.col("lower") > F.col("lowest"))
         .select(F.col("lower").alias("upper"), F.col("lowest").alias("lower"))
     )
-    return hop.select(F.col("id").alias("upper"), F.col("lowest").alias("lower")).unionByName(near).distinct()
+    kept = hop.select(F.col("id").alias("upper"), F.col("lowest").alias("lower"))
+    return store(f"links_{number}", kept.unionByName(near).distinct())
 
 
 def smallest_in_component(links: DataFrame, store: Store) -> DataFrame:
@@ -95,12 +103,12 @@ def smallest_in_component(links: DataFrame, store: Store) -> DataFrame:
     done = 0
     while not _settled(edges):
         done += 1
-        edges = store(f"links_{done}", _star_round(edges))
+        edges = _star_round(edges, store, done)
     return edges.select(F.col("upper").alias("id"), F.col("lower").alias("root"))
 
 
 def id_crosswalk(keys: DataFrame, store: Store, match_on: Mapping[str, str] = MATCH_ON) -> DataFrame:
-    links = shared_key_links(keys, match_on).select(
+    links = shared_key_links(keys, store, match_on).select(
         F.col("customer_id").alias("upper"), F.col("linked_id").alias("lower")
     )
     return smallest_in_component(links, store).select(

@@ -133,9 +133,10 @@ def tickets_vs_exceptions(t: Customer360) -> DataFrame:
     )
     names = t.dim_customer.select("customer_key", "full_name")
     problems = order_problems_per_customer(t.fact_order, t.fact_payment)
+    # one written row per customer: a single lookup, which adaptive execution can split by ticket
+    customers = t.work("customer_problems", names.join(problems, "customer_key", "full"))
     rows = (
-        tickets.join(names, "customer_key", "left")
-        .join(problems, "customer_key", "left")
+        tickets.join(customers, "customer_key", "left")
         .select(
             "ticket_id",
             "customer_key",

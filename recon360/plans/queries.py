@@ -189,7 +189,7 @@ def completeness(run: Run) -> DataFrame:
 
 def duplicate_pairs(run: Run) -> DataFrame:
     """Each id with the smallest id that shares its name and phone or email; linear in the ids."""
-    return entity.shared_key_links(entity.match_keys(run.customers))
+    return entity.shared_key_links(entity.match_keys(run.customers), run.work)
 
 
 def duplicate_ids(run: Run) -> DataFrame:

@@ -77,7 +77,8 @@ def load_rules(spark: SparkSession, path: str | None, known: list[str]) -> list[
     """
     if path is None:
         return [r for r in DEFAULT_RULES if r.rule_id in known]
-    catalog = scan_csv(spark, path).where(F.col("rule_id").isin(known))
+    catalog = with_columns(scan_csv(spark, path), ["suggested_action"]).where(F.col("rule_id").isin(known))
+    catalog = catalog.na.fill("", ["suggested_action"])
     fields = F.struct("rule_id", "dataset", "rule_description", "severity", "suggested_action")
     rows = (
         catalog.groupBy("rule_id")

@@ -30,3 +30,22 @@ def store(spark, tmp_path):
     from recon360.sources.store import TableStore
 
     return TableStore(spark, str(tmp_path / "tables"))
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Adaptive execution treats 50 KB as a hot partition and never broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield lambda df: "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
