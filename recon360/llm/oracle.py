@@ -52,7 +52,7 @@ def _op3() -> str:
     return rf"""
 with w as materialized (
     select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t, {words} as ws,
-           list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
     from documents
 ),
 positions as (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from w where len(ws) >= 5),
@@ -74,13 +74,13 @@ f as materialized (
 good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
 grid(rule, step, cut, name) as (values {steps}),
 lost as (
-    select stratum, rule, step, cut, name, count(*) as n, sum({beyond}::int) as k
+    select stratum, rule, step, cut, name, count(*) as n, sum({beyond}::int)::bigint as k
     from (select *, case rule {values} end as v from f join good using (doc_id), grid where not base_failed)
     group by all
 ),
 tested as (
     select *, case when k >= n * {p} then 1.0 else list_sum(list_transform(range(0, k + 1),
-        i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln({1 - p})))) end as tail
+        lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln({1 - p})))) end as tail
     from lost
 ),
 cuts as (

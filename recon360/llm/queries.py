@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import exact_dedup, mixing, quality_rules
+from recon360.llm import bpe, exact_dedup, mixing, quality_rules, token_files
 from recon360.llm.common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ENCODE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+FILES_VOCABULARY = "byte_bpe_50k.json"
+FILES_END_ID = 2
 MIX_SEED = 20
 MIX_EXPONENT = 0.5
 
@@ -20,6 +24,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace(spark, "byte_bpe")
+    vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(ENCODE_VOCABULARY))
+    return token_digests(bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary))
+
+
+def token_digests(decoded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and the digests of ids and decoded bytes."""
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", "ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = workspace(spark, "quality_rules")
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -41,8 +61,17 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.tempered_weights(docs, MIX_EXPONENT), seed=MIX_SEED)
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "token_files").path("ids")
+    vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(FILES_VOCABULARY))
+    token_files.write(_table(spark, sf_dir, "documents"), vocabulary, path, end_id=FILES_END_ID)
+    return token_files.read_documents(spark, path)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op9_token_files": op9_token_files,
 }
