@@ -32,6 +32,12 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return flat.select(*[F.col(f"_c{_position(df.columns, n)}").alias(n) for n in names])
 
 
+def leading(df: DataFrame, names: list[str]) -> DataFrame:
+    """The first columns of ``df``, as many as there are ``names``, under those names."""
+    flat = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    return flat.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)])
+
+
 def _position(columns: list[str], name: str) -> int:
     if name in columns:
         return columns.index(name)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import bpe, exact_dedup, mixing, quality_rules, token_files
+from recon360.llm import bpe, exact_dedup, mixing, quality_rules, simhash, token_files
 from recon360.llm.common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), workspace(spark, "simhash")).drop("_hash")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = workspace(spark, "exact_dedup")
     index = exact_dedup.DigestIndex(spark, store.path("index"))
@@ -71,6 +75,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op9_token_files": op9_token_files,
