@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import bpe, exact_dedup, mixing, quality_rules, simhash, token_files
-from recon360.llm.common import workspace
+from recon360.llm import bpe, exact_dedup, language, mixing, quality_rules, simhash, token_files
+from recon360.llm.common import crc32_mod, pick, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,14 @@ def token_digests(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace(spark, "language_id")
+    docs = pick(_table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    held_out = crc32_mod(F.col("doc_id"), 5) == 0
+    dictionaries = language.build_dictionaries(docs.where(~held_out).select("lang", "text"))
+    return language.predict(docs, dictionaries).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "narrow")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = workspace(spark, "quality_rules")
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -74,6 +82,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
