@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import bpe, exact_dedup, language, mixing, quality_rules, simhash, token_files
+from recon360.llm import bpe, exact_dedup, language, mixing, quality_knn, quality_rules, simhash, token_files
 from recon360.llm.common import crc32_mod, pick, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.tempered_weights(docs, MIX_EXPONENT), seed=MIX_SEED)
 
 
+def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace(spark, "quality_knn")
+    docs, labels = _table(spark, sf_dir, "documents"), pick(_table(spark, sf_dir, "labels"), "doc_id", "quality")
+    held_out = crc32_mod(F.col("doc_id"), 3) == 1
+    model = quality_knn.train(docs, labels.where(~held_out))
+    return quality_knn.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "token_files").path("ids")
     vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(FILES_VOCABULARY))
@@ -87,5 +95,6 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op8_quality_knn": op8_quality_knn,
     "op9_token_files": op9_token_files,
 }
