@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import bpe, exact_dedup, language, mixing, quality_knn, quality_rules, simhash, token_files
+from recon360.llm import bpe, exact_dedup, html_diff, language, mixing, quality_knn, quality_rules, simhash, token_files
 from recon360.llm.common import crc32_mod, pick, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.tempered_weights(docs, MIX_EXPONENT), seed=MIX_SEED)
 
 
+def op7_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.extract(_table(spark, sf_dir, "pages"), workspace(spark, "html_diff"))
+
+
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace(spark, "quality_knn")
     docs, labels = _table(spark, sf_dir, "documents"), pick(_table(spark, sf_dir, "labels"), "doc_id", "quality")
@@ -95,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_html_diff": op7_html_diff,
     "op8_quality_knn": op8_quality_knn,
     "op9_token_files": op9_token_files,
 }
