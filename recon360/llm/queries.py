@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import bpe, exact_dedup, html_diff, language, mixing, quality_knn, quality_rules, simhash, token_files
+from recon360.llm import bpe, exact_dedup, html_diff, language, licenses, mixing, quality_knn, quality_rules, simhash, token_files
 from recon360.llm.common import crc32_mod, pick, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = workspace(spark, "licenses")
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs, store), store)
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
@@ -102,4 +108,5 @@ QUERIES: dict[str, Query] = {
     "op7_html_diff": op7_html_diff,
     "op8_quality_knn": op8_quality_knn,
     "op9_token_files": op9_token_files,
+    "op10_licenses": op10_licenses,
 }
