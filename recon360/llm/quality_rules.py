@@ -33,11 +33,11 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols_per_word", "n_symbols / n_words", True, (3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1)),
-    Rule("repeated_words", "n_repeat_words / n_words", True, (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05)),
-    Rule("duplicate_lines", "n_dup_lines / n_word_lines", True, (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1)),
-    Rule("long_words", "word_chars / n_words", True, (100.0, 60.0, 40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0)),
-    Rule("short_words", "word_chars / n_words", False, (1.0, 1.25, 1.5, 2.0, 2.5, 3.0)),
+    Rule("symbols_per_word", "n_symbols / nullif(n_words, 0)", True, (3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1)),
+    Rule("repeated_words", "n_repeat_words / nullif(n_words, 0)", True, (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05)),
+    Rule("duplicate_lines", "n_dup_lines / nullif(n_word_lines, 0)", True, (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1)),
+    Rule("long_words", "word_chars / nullif(n_words, 0)", True, (100.0, 60.0, 40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0)),
+    Rule("short_words", "word_chars / nullif(n_words, 0)", False, (1.0, 1.25, 1.5, 2.0, 2.5, 3.0)),
 )
 
 
