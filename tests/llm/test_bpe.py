@@ -87,13 +87,16 @@ def test_offsets(codec):
             at += len(token)
 
 
-def test_memory_of_pieces_is_bounded(codec, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    codec.encode("one two three four five six")
-    codec.rest()
-    assert not codec.known
-    codec.encode("z" * 100)
-    assert all(len(k) <= bpe.REMEMBERED_LENGTH for k in codec.known)
+def test_memory_of_pieces_is_bounded(monkeypatch, reference):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    codec = bpe.Codec(RANKS, open(RANKS, "rb").read())
+    for i in range(50):
+        text = " ".join(f"word{'abcdefghij'[(i * k) % 10]}{'xyz'[k % 3]}," for k in range(9))
+        assert codec.encode(text).tolist() == reference.encode_ordinary(text)
+        codec.rest()
+        assert max(len(codec.spaced), len(codec.spaced.older), len(codec.known), len(codec.known.older)) <= 30
+    codec.encode("z" * 100 + " " + "z" * 100)
+    assert all(len(k) <= bpe.REMEMBERED_LENGTH for k in (*codec.known, *codec.spaced))
 
 
 def test_large_vocabulary_is_refused(spark, tmp_path, monkeypatch):
