@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import uuid
+from itertools import zip_longest
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +53,15 @@ def load_staging(spark: SparkSession, input_dir: str, store: TableStore) -> Stag
 def write_answers(t: Customer360, questions: list[str], output_dir: str) -> dict[str, str]:
     """One CSV per question, NULL written as such; a failing question does not stop the others.
 
-    Returns the state of each answer: ``ok`` or the error.
+    Returns the state of each answer: ``ok``, ``no results`` or the error.
     """
     states = {}
     for question, (name, answer) in zip(questions, answers.ANSWERS.items()):
         try:
-            sinks.write_csv(answer(t), f"{output_dir}/answers/{name}", null="NULL")
-            states[name] = "ok"
+            path = f"{output_dir}/answers/{name}"
+            rows = answer(t)
+            sinks.write_csv(rows, path, null="NULL")
+            states[name] = "no results" if files.scan_csv(rows.sparkSession, path, multi_line=False).isEmpty() else "ok"
         except Exception as error:  # noqa: BLE001 - reported per question
             log.exception("no answer to %r", question)
             states[name] = str(error)
@@ -77,21 +81,24 @@ def run(
 
     mapping = metadata(MAPPING_FILE)
     columns = files.load_mapping(spark, mapping) if mapping else CURATED_COLUMNS
-    work = TableStore(spark, f"{scratch_root(spark)}/job")
+    work = TableStore(spark, f"{scratch_root(spark)}/job-{uuid.uuid4().hex}")
     t = Customer360(load_staging(spark, input_dir, store), store, match_on, curated_schema(columns), work)
 
     tables = {"id_crosswalk": store("id_crosswalk", t.id_crosswalk), **t.curated()}
     checks.require_unique_keys(t)
 
-    catalog = files.load_rules(spark, metadata(RULES_FILE), list(rules.RULES))
+    catalog = files.load_rules(spark, metadata(RULES_FILE))
+    for rule in catalog:
+        if rule.rule_id not in rules.RULES:
+            log.warning("no function for rule %s; it is reported with no findings", rule.rule_id)
     found = store("dq_exception_report", fit(rules.exceptions(t, catalog), t.schemas["dq_exception_report"]))
     sinks.export_exceptions(found, f"{output_dir}/exceptions_csv")
     tables["dq_exception_report"] = found
     tables["dq_summary"] = store("dq_summary", rules.summary(found, catalog))
     tables["dq_totals"] = store("dq_totals", rules.totals(found, catalog))
-    tables["dq_detail"] = store("dq_detail", sinks.sorted_by(rules.detail(found, catalog), "rule_id", "record_key"))
+    tables["dq_detail"] = store("dq_detail", sinks.sorted_by(rules.detail(found, catalog), "place", "record_key").drop("place"))
 
-    questions = files.load_questions(spark, metadata(QUESTIONS_FILE), len(answers.ANSWERS))
+    questions = files.load_questions(spark, metadata(QUESTIONS_FILE))
     states = write_answers(t, questions, output_dir)
     if len(questions) != len(answers.ANSWERS):
         log.warning("%d questions for %d answers", len(questions), len(answers.ANSWERS))
@@ -100,8 +107,9 @@ def run(
         constant_rows(
             spark,
             [
-                {"position": i, "answer": name, "question": question, "state": states[name]}
-                for i, (question, name) in enumerate(zip(questions, answers.ANSWERS), start=1)
+                {"position": i, "answer": name, "question": question, "state": states.get(name, "unanswered")}
+                for i, (question, name) in enumerate(zip_longest(questions, answers.ANSWERS, fillvalue=""), start=1)
+                if question
             ],
         ),
     )

@@ -35,13 +35,24 @@ class Run(Customer360):
         return self._exceptions
 
 
-_runs: dict[tuple[str, str], Run] = {}
+_runs: dict[tuple, Run] = {}
+SOURCE_TABLES = ("customer", "part", "orders", "lineitem", "events")
+
+
+def _modified(spark: SparkSession, sf_dir: str) -> tuple[int, ...]:
+    """When the tables of a folder were last written, on any file system Spark can read."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES]
+    return tuple(p.getFileSystem(conf).getFileStatus(p).getModificationTime() for p in paths)
 
 
 def open_run(spark: SparkSession, sf_dir: str) -> Run:
-    """One run per session and folder, so that queries share the tables written so far."""
+    """One run per session and folder, so that queries share the tables written so far.
+
+    A folder whose tables were written anew, or a session whose scratch tables were dropped, begins another.
+    """
     prepare(spark)
-    key = (spark.sparkContext.applicationId, str(sf_dir))
+    key = (scratch_root(spark), str(sf_dir), _modified(spark, str(sf_dir)))
     if key not in _runs:
         _runs[key] = Run(spark, str(sf_dir), len(_runs))
     return _runs[key]
@@ -63,20 +74,20 @@ def as_result(df: DataFrame) -> DataFrame:
 
 def scan_csv_text(run: Run) -> DataFrame:
     """Customers written as quoted CSV text and scanned back."""
-    path = run.files.path("customers_csv")
+    path = run.files.fresh("customers_csv")
     sinks.write_csv(run.staging.customers.drop(SEQ), path)
     return files.scan_csv(run.spark, path)
 
 
 def scan_jsonl_text(run: Run) -> DataFrame:
-    path = run.files.path("tickets_jsonl")
+    path = run.files.fresh("tickets_jsonl")
     run.staging.support_tickets.drop(SEQ).write.mode("overwrite").json(path)
     return files.scan_jsonl(run.spark, path)
 
 
 def dq_exceptions_export(run: Run) -> DataFrame:
     """The exported CSV, read back."""
-    path = run.files.path("exceptions_csv")
+    path = run.files.fresh("exceptions_csv")
     sinks.export_exceptions(run.exceptions, path)
     return files.scan_csv(run.spark, path)
 
@@ -296,7 +307,7 @@ QUERIES: dict[str, Query] = {
     "dq_exceptions_export": dq_exceptions_export,
     "dq_summary": lambda run: rules.summary(run.exceptions, DEFAULT_RULES),
     "dq_totals": lambda run: rules.totals(run.exceptions, DEFAULT_RULES),
-    "dq_detail": lambda run: sinks.sorted_by(rules.detail(run.exceptions, DEFAULT_RULES), "rule_id", "record_key"),
+    "dq_detail": lambda run: sinks.sorted_by(rules.detail(run.exceptions, DEFAULT_RULES), "place", "record_key").drop("place"),
     **answers.ANSWERS,
     "check_row_accounting": lambda run: checks.row_accounting(run, run.exceptions),
     "check_referential": lambda run: checks.referential(run, run.exceptions),

@@ -244,11 +244,15 @@ def totals(found: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+MOST_BROADCAST_RULES = 10_000
+
+
 def detail(found: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Findings per rule with the rule's status; a clean rule shows as one row without a record."""
+    """Findings per rule with the rule's status and its place in the catalog; a clean rule shows as one
+    row without a record."""
     n = F.col("n_exceptions")
-    # as long as the catalog, which holds one row per rule function at most
     status = _counts(found, rules).select(
+        "place",
         "rule_id",
         "rule_description",
         "dataset",
@@ -260,7 +264,9 @@ def detail(found: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     texts = found.select(
         "rule_id", "record_key", F.replace(F.col("issue_description"), F.lit("|"), F.lit("\\|")).alias("issue_description")
     )
-    shown_rows = texts.join(F.broadcast(status.where(n > 0)), "rule_id").drop("n_exceptions")
+    hit = status.where(n > 0)
+    # the catalog is sent to the findings while it is small; findings of one rule split otherwise
+    shown_rows = texts.join(F.broadcast(hit) if len(rules) <= MOST_BROADCAST_RULES else hit, "rule_id").drop("n_exceptions")
     clean = status.where(n == 0).drop("n_exceptions").withColumns(
         {
             "record_key": F.lit(None).cast("string"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import itertools
 import shutil
 import tempfile
 
@@ -22,6 +23,7 @@ SETTINGS = {
 }
 
 _roots: dict[str, str] = {}
+_numbers = itertools.count()  # a root that was dropped is not used again
 
 
 def build_session(app_name: str = "recon360", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,7 +55,7 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared and not local:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = f"{(shared or tempfile.gettempdir()).rstrip('/')}/recon360-{app_id}"
+    root = f"{(shared or tempfile.gettempdir()).rstrip('/')}/recon360-{app_id}-{next(_numbers)}"
     if local and "://" not in root:
         atexit.register(shutil.rmtree, root, ignore_errors=True)
     _roots[app_id] = root

@@ -173,7 +173,7 @@ def bind_payments(orders: DataFrame) -> DataFrame:
 
 def bind_tickets(events: DataFrame) -> DataFrame:
     e, user = F.col("event_id"), F.col("user_id")
-    return events.where(F.col("event_type").isin("error", "view", "signup")).select(
+    return events.select(
         F.concat(F.lit("T"), e.cast("string")).alias("ticket_id"),
         F.when(user % 29 == 7, "C999999999").otherwise(F.concat(F.lit("C"), _pad(user))).alias("customer_id"),
         F.when(e % 83 == 0, "")
@@ -183,7 +183,7 @@ def bind_tickets(events: DataFrame) -> DataFrame:
         _pick(e % 3, "email", "chat", "phone").alias("channel"),
         _pick(e % 5, "delivery", "product_quality", "return", "billing", "account").alias("category"),
         F.when(F.col("event_type") == "error", "negative")
-        .when(F.col("event_type") == "view", "Neutral")
+        .when(F.col("event_type").isin("view", "click"), "Neutral")
         .otherwise("positive")
         .alias("sentiment"),
         F.col("props").alias("description"),
@@ -204,11 +204,6 @@ class BoundStaging:
     def _table(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """Give every core a share of an input with few splits; larger inputs pass as they are."""
-        cores = self._spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
     @cached_property
     def customers(self) -> DataFrame:
         return bind_customers(self._table("customer"))
@@ -219,7 +214,7 @@ class BoundStaging:
 
     @cached_property
     def _orders(self) -> DataFrame:
-        lines = self._spread(self._table("lineitem").select(*LINE_COLUMNS))
+        lines = self._table("lineitem").select(*LINE_COLUMNS)
         return self._store("staging_orders", bind_orders(lines, self._table("orders"), self._table("part")))
 
     @cached_property

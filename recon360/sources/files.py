@@ -70,14 +70,11 @@ def with_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def load_rules(spark: SparkSession, path: str | None, known: list[str]) -> list[Rule]:
-    """The rules to run, in catalog order; ids without a rule function are left out.
-
-    A repeated id keeps its first place and its last text, so the result is no longer than ``known``.
-    """
+def load_rules(spark: SparkSession, path: str | None) -> list[Rule]:
+    """The whole catalog in its order. A repeated id keeps its first place and its last text."""
     if path is None:
-        return [r for r in DEFAULT_RULES if r.rule_id in known]
-    catalog = with_columns(scan_csv(spark, path), ["suggested_action"]).where(F.col("rule_id").isin(known))
+        return list(DEFAULT_RULES)
+    catalog = with_columns(scan_csv(spark, path), ["suggested_action"])
     catalog = catalog.na.fill("", ["suggested_action"])
     fields = F.struct("rule_id", "dataset", "rule_description", "severity", "suggested_action")
     rows = (
@@ -89,16 +86,15 @@ def load_rules(spark: SparkSession, path: str | None, known: list[str]) -> list[
     return [Rule(**row["rule"].asDict()) for row in rows]
 
 
-def load_questions(spark: SparkSession, path: str | None, limit: int) -> list[str]:
-    """Question texts in file order; ``limit`` is the number of answers there are."""
+def load_questions(spark: SparkSession, path: str | None) -> list[str]:
+    """All question texts in file order."""
     if path is None:
-        return DEFAULT_QUESTIONS[:limit]
+        return list(DEFAULT_QUESTIONS)
     rows = (
         scan_csv(spark, path)
         .select(F.trim("Questions").alias("question"), SEQ)
         .where("question <> ''")
         .orderBy(SEQ)
-        .limit(limit)
         .collect()
     )
     return [row["question"] for row in rows]

@@ -19,15 +19,23 @@ class TableStore:
     """Writes a DataFrame as Parquet below ``root`` and returns it as a fresh scan.
 
     The scan has no lineage behind it, knows its size, prunes columns, and outlives lost executors.
+    A name that is written again gets a folder of its own, so frames read from the first stay valid.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._times: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def fresh(self, name: str) -> str:
+        """The path of a name when first asked for, then others that begin like it."""
+        self._times[name] = self._times.get(name, 0) + 1
+        return self.path(name if self._times[name] == 1 else f"{name}__{self._times[name]}")
+
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        path = self.fresh(name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

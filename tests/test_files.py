@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from recon360.model import DEFAULT_RULES, SEQ
+from recon360.model import DEFAULT_RULES, SEQ, Rule
 from recon360.plans import rules
 from recon360.plans.conform import fit
 from recon360.model import curated_schema
@@ -74,14 +74,27 @@ def test_empty_jsonl_gets_declared_columns(spark, tmp_path):
 def test_rule_catalog(spark, tmp_path):
     head = "rule_id,dataset,rule_description,severity,suggested_action\n"
     body = 'DQ004,orders,dup,Low,"fix, now"\nDQ777,orders,unknown,Low,\nDQ001,customers,first,Low,\nDQ004,orders,again,High,\n'
-    loaded = files.load_rules(spark, write(tmp_path / "r.csv", head + body), list(rules.RULES))
-    assert [(r.rule_id, r.rule_description, r.severity) for r in loaded] == [("DQ004", "again", "High"), ("DQ001", "first", "Low")]
-    assert [r.rule_id for r in files.load_rules(spark, None, list(rules.RULES))] == [r.rule_id for r in DEFAULT_RULES]
+    loaded = files.load_rules(spark, write(tmp_path / "r.csv", head + body))
+    assert [(r.rule_id, r.rule_description, r.severity) for r in loaded] == [
+        ("DQ004", "again", "High"), ("DQ777", "unknown", "Low"), ("DQ001", "first", "Low"),
+    ]
+    assert files.load_rules(spark, None) == list(DEFAULT_RULES)
+
+
+def test_a_rule_without_a_function_stays_in_the_reports(spark):
+    staged = [Rule("DQ777", "orders", "staged", "Low", "wait"), *DEFAULT_RULES[:1]]
+    found = spark.createDataFrame([("DQ001", "customers", "C1", "Low", "twice", "fix")], rules.EXCEPTION_COLUMNS)
+    assert [(r.rule_id, r.n_exceptions) for r in rules.summary(found, staged).collect()] == [("DQ777", 0), ("DQ001", 1)]
+    assert rules.totals(found, staged).first().n_rules == 2
+    assert [(r.rule_id, r.status) for r in rules.detail(found, staged).orderBy("place").collect()] == [
+        ("DQ777", "passed clean"), ("DQ001", "1 exception(s)"),
+    ]
 
 
 def test_questions(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'Questions\n"one, two?"\n""\n  three?  \nfour?\n')
-    assert files.load_questions(spark, path, 2) == ["one, two?", "three?"]
+    assert files.load_questions(spark, path) == ["one, two?", "three?", "four?"]
+    assert len(files.load_questions(spark, None)) == 5
 
 
 def test_mapping_drives_the_schema(spark, tmp_path):
