@@ -46,7 +46,7 @@ class Risk:
     """At most ``rejected`` of a stratum's good documents are lost to all rules together, and this holds
     in every stratum at once with probability ``1 - error``."""
 
-    rejected: float = 0.05
+    rejected: float = 0.02
     error: float = 0.05
 
 
