@@ -43,7 +43,11 @@ def parse_date(c: Column) -> Column:
 
 
 def parse_money(c: Column) -> Column:
-    return F.translate(c, _WIDE_BLANKS + "$,", " " * len(_WIDE_BLANKS)).try_cast(AMOUNT)
+    """An amount to six decimals. Text that is a number but too large for the type is an error."""
+    text = F.translate(c, _WIDE_BLANKS + "$,", " " * len(_WIDE_BLANKS))
+    amount, number = text.try_cast(AMOUNT), text.try_cast("double")
+    too_large = amount.isNull() & (F.abs(number) >= 1e18) & (F.abs(number) < float("inf"))
+    return F.when(too_large, F.raise_error(F.concat(F.lit("amount out of range: "), c)).cast(AMOUNT)).otherwise(amount)
 
 
 def parse_quantity(c: Column) -> Column:

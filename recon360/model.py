@@ -50,8 +50,8 @@ CURATED_COLUMNS = {
 }
 EXCEPTION_COLUMNS = CURATED_COLUMNS["dq_exception_report"]
 
-AMOUNT = T.DecimalType(18, 4)
-# quantity (19 digits) x price (18 digits, 4 decimals) never overflows this
+# 18 digits before the point and six after it; an amount beyond that fails the job, it is never dropped
+AMOUNT = T.DecimalType(24, 6)
 DERIVED_AMOUNT = T.DecimalType(38, 4)
 
 # Everything not named here is text.

@@ -104,7 +104,7 @@ def test_mapping_drives_the_schema(spark, tmp_path):
     schema = curated_schema(mapping)["t1"]
     df = spark.createDataFrame([(1, "2.5")], "active_flag int, unit_price string")
     fitted = fit(df, schema)
-    assert fitted.columns == mapping["t1"] and [t for _, t in fitted.dtypes] == ["decimal(18,4)", "string", "int"]
+    assert fitted.columns == mapping["t1"] and [t for _, t in fitted.dtypes] == ["decimal(24,6)", "string", "int"]
     with pytest.raises(ValueError):
         fit(df.withColumn("more", F.lit(1)), schema)
 

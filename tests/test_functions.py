@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recon360.functions import messages, parsing, text
 
+# The accepted date formats.
 FORMATS = [
     "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M", "%m/%d/%Y %H:%M",
     "%Y/%m/%d %H:%M", "%m-%d-%Y %H:%M", "%Y-%m-%d", "%m/%d/%Y", "%Y/%m/%d", "%m-%d-%Y",
@@ -66,10 +67,12 @@ def test_money(spark):
     cases = {
         "36.00": "36", " $1,234.50 ": "1234.5", "$ 5.00": "5", "-21.00": "-21", ".5": "0.5", "5.": "5", "1e3": "1000",
         " 7": "7", "": None, " ": None, "abc": None, "12d": None, "1 000": None, None: None, "nan": None,
-        "1.005": "1.005",
+        "1.005": "1.005", "123456789012345.00": "123456789012345", "0.00004": "0.00004", "1e17": "100000000000000000",
     }
     got = evaluate(spark, list(cases), parsing.parse_money)
     assert got == [None if v is None else Decimal(v) for v in cases.values()]
+    with pytest.raises(Exception, match="out of range"):  # never dropped without a word
+        evaluate(spark, ["1e20"], parsing.parse_money)
 
 
 def test_quantity(spark):
@@ -90,7 +93,23 @@ def test_country_and_state(spark):
         "": "", None: None, "west virginia": "WV",
     }
     assert evaluate(spark, list(states), text.normalize_state) == list(states.values())
-    assert len(text.STATE_CODES) == 50 and len(set(text.STATE_CODES.values())) == 50
+
+
+# The postal codes of the US states, in order of their names.
+POSTAL_CODES = """
+Alabama AL, Alaska AK, Arizona AZ, Arkansas AR, California CA, Colorado CO, Connecticut CT, Delaware DE, Florida FL, Georgia GA,
+Hawaii HI, Idaho ID, Illinois IL, Indiana IN, Iowa IA, Kansas KS, Kentucky KY, Louisiana LA, Maine ME, Maryland MD,
+Massachusetts MA, Michigan MI, Minnesota MN, Mississippi MS, Missouri MO, Montana MT, Nebraska NE, Nevada NV, New Hampshire NH,
+New Jersey NJ, New Mexico NM, New York NY, North Carolina NC, North Dakota ND, Ohio OH, Oklahoma OK, Oregon OR, Pennsylvania PA,
+Rhode Island RI, South Carolina SC, South Dakota SD, Tennessee TN, Texas TX, Utah UT, Vermont VT, Virginia VA, Washington WA,
+West Virginia WV, Wisconsin WI, Wyoming WY
+"""
+
+
+def test_every_state_has_its_code(spark):
+    pairs = dict(p.strip().rsplit(" ", 1) for p in POSTAL_CODES.split(","))
+    assert len(pairs) == 50
+    assert dict(zip(pairs, evaluate(spark, list(pairs), text.normalize_state), strict=True)) == pairs
 
 
 def test_names_and_contacts(spark):
