@@ -47,17 +47,31 @@ def dangling(df: DataFrame, key: str, parents: DataFrame, parent_key: str) -> Da
     return df.where(F.col(key).isNotNull()).join(parents, df[key] == parents[parent_key], "left_anti")
 
 
-def orders_with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders left-joined to their payments, one row per payment, unpaid orders kept.
+def payments_of_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Each payment of a known order with the columns of that order.
 
-    A left join could not split an order that holds a large share of all payments, as those sit on
-    its right side. So the paid part is an inner join, which splits on either side, and the unpaid
-    part an anti join against the order keys seen in payments, reduced before the shuffle.
+    An inner join of two shuffled sides: an order that holds a large share of all payments splits.
     """
     paying = payments.select(
         F.col("order_key").alias("_order"), "payment_key", "payment_status", "payment_amount"
     )
-    paid_orders = payments.where(F.col("order_key").isNotNull()).select(F.col("order_key").alias("_order")).distinct()
-    paid = orders.join(paying, orders["order_key"] == paying["_order"]).drop("_order")
-    unpaid = orders.join(paid_orders, orders["order_key"] == paid_orders["_order"], "left_anti")
+    return orders.join(paying, orders["order_key"] == paying["_order"]).drop("_order")
+
+
+def with_unpaid(orders: DataFrame, paid: DataFrame) -> DataFrame:
+    """The paid orders of ``paid`` plus those of ``orders`` that are not among them.
+
+    Together a left join of orders to payments, which itself could not split a hot order, as its payments
+    sit on the right side. The keys seen in ``paid`` are reduced before the shuffle.
+    """
+    seen = paid.select(F.col("order_key").alias("_order")).distinct()
+    unpaid = orders.join(seen, orders["order_key"] == seen["_order"], "left_anti")
+    return paid.unionByName(unpaid, allowMissingColumns=True)
+
+
+def orders_with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Orders left-joined to their payments, one row per payment, unpaid orders kept."""
+    paid = payments_of_orders(orders, payments)
+    keys = payments.where(F.col("order_key").isNotNull()).select(F.col("order_key").alias("_order")).distinct()
+    unpaid = orders.join(keys, orders["order_key"] == keys["_order"], "left_anti")
     return paid.unionByName(unpaid, allowMissingColumns=True)

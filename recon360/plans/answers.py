@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recon360.operators import predicates
-from recon360.operators.references import orders_with_payments
-from recon360.plans.conform import Customer360
+from recon360.operators.references import with_unpaid
+from recon360.plans.conform import ORDER_FACTS, Customer360
 from recon360.sources.sinks import sorted_by
 
 
@@ -54,12 +54,8 @@ def problem_orders(t: Customer360) -> DataFrame:
         "payment_mismatch": predicates.payment_mismatch(),
     }
     flags = {name: F.coalesce(test, F.lit(False)) for name, test in problems.items()}
-    orders = t.fact_order.select(
-        "order_key", "customer_key", "product_key", "quantity", "order_status", "gross_order_amount",
-        "order_amount_variance",
-    )
     rows = (
-        orders_with_payments(orders, t.fact_payment)
+        with_unpaid(t.fact_order.select(*ORDER_FACTS), t.order_payments)
         .select("order_key", "order_status", F.col("gross_order_amount").cast("double").alias("gross_order_amount"), *[c.alias(k) for k, c in flags.items()])
         .where(" or ".join(flags))
     )
@@ -77,30 +73,28 @@ def revenue_by_state(t: Customer360) -> DataFrame:
     )
 
 
-def order_problems_per_customer(orders: DataFrame, payments: DataFrame) -> DataFrame:
+def order_problems_per_customer(orders: DataFrame, paid_orders: DataFrame) -> DataFrame:
     """What orders left-joined to payments would count per customer, without building that join.
 
     Every order counts once as if unpaid; its payments then correct that: an order with n payments
-    stands in n joined rows and misses none. So orders cross the network once, only paid pairs are
-    joined, and neither a hot order nor a hot customer is gathered in one place.
+    stands in n joined rows and misses none. Both sums combine before the shuffle, so neither a hot order
+    nor a hot customer is gathered in one place.
     """
     flags = {
         "orders_with_total_mismatch": predicates.total_mismatch(),
         "orders_missing_payment": predicates.completed(),
         "orders_with_suspicious_qty": predicates.suspicious_quantity(),
     }
-    flagged = orders.where(F.col("customer_key").isNotNull()).select(
-        "customer_key",
-        "order_key",
-        "gross_order_amount",
-        *[F.coalesce(test, F.lit(False)).cast("long").alias(name) for name, test in flags.items()],
-    )
-    unpaid = flagged.select(
+
+    def flagged(df: DataFrame, *more: str) -> DataFrame:
+        found = [F.coalesce(test, F.lit(False)).cast("long").alias(name) for name, test in flags.items()]
+        return df.where(F.col("customer_key").isNotNull()).select("customer_key", "order_key", *found, *more)
+
+    unpaid = flagged(orders).select(
         "customer_key", F.lit(1).alias("orders_placed"), F.lit(0).alias("orders_with_payment_mismatch"), *flags
     )
     paid = (
-        payments.select("order_key", "payment_key", "payment_status", "payment_amount")
-        .join(flagged, "order_key")
+        flagged(paid_orders, "payment_key", "payment_status", "payment_amount", "gross_order_amount")
         .groupBy("customer_key", "order_key", *flags)
         .agg(F.count(F.lit(1)).alias("_n"), F.count_if(predicates.payment_mismatch()).alias("orders_with_payment_mismatch"))
     )
@@ -134,7 +128,7 @@ def tickets_vs_exceptions(t: Customer360) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_times"))
     )
     names = t.dim_customer.select("customer_key", "full_name")
-    problems = order_problems_per_customer(t.fact_order, t.fact_payment)
+    problems = order_problems_per_customer(t.fact_order, t.order_payments)
     # one written row per customer: a single lookup, which adaptive execution can split by ticket
     customers = t.work("customer_problems", names.join(problems, "customer_key", "full"))
     rows = (

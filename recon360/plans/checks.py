@@ -114,9 +114,7 @@ def referential(t: Customer360, exceptions: DataFrame) -> DataFrame:
 def amounts(t: Customer360, exceptions: DataFrame) -> DataFrame:
     revenue = F.sum(F.when(predicates.completed(), F.col("gross_order_amount")))
     unreadable = _where(predicates.completed() & F.col("quantity").isNull())
-    mismatched = t.fact_payment.join(
-        t.fact_order.select("order_key", "order_status", "gross_order_amount"), "order_key"
-    ).where(predicates.completed() & predicates.payment_mismatch())
+    mismatched = t.order_payments.where(predicates.completed() & predicates.payment_mismatch())
     return _checks(
         _measure(
             t.fact_order,

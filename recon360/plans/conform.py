@@ -108,6 +108,12 @@ def fact_customer_issue(tickets: DataFrame, clusters: DataFrame) -> DataFrame:
     return references.resolve_customer(parsed, clusters).drop("customer_id")
 
 
+# what rules, answers and checks ask of an order besides its payments
+ORDER_FACTS = (
+    "order_key", "customer_key", "product_key", "quantity", "order_status", "gross_order_amount", "order_amount_variance",
+)
+
+
 class Customer360:
     """The tables of one run, each built and written on first use.
 
@@ -169,6 +175,12 @@ class Customer360:
             "fact_customer_issue", fact_customer_issue(self.staging.support_tickets, self.clusters)
         )
 
+    @cached_property
+    def order_payments(self) -> DataFrame:
+        """Payments of known orders with the order's columns: joined once for rules, answers and checks."""
+        orders = self.fact_order.select(*ORDER_FACTS)
+        return self.work("order_payments", references.payments_of_orders(orders, self.fact_payment))
+
     def _trace(self, name: str, lost: DataFrame, raw: DataFrame, raw_id: str, *raw_columns: str) -> DataFrame:
         """Raw values behind the few curated rows that lost something.
 

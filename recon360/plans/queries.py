@@ -257,8 +257,9 @@ def order_amounts(run: Run) -> DataFrame:
 
 
 def orders_with_payments(run: Run) -> DataFrame:
-    orders = run.fact_order.select("order_key", "order_status", "gross_order_amount")
-    return references.orders_with_payments(orders, run.fact_payment)
+    columns = ("order_key", "order_status", "gross_order_amount")
+    paid = run.order_payments.select(*columns, "payment_key", "payment_status", "payment_amount")
+    return references.with_unpaid(run.fact_order.select(*columns), paid)
 
 
 def trace_to_raw(run: Run) -> DataFrame:

@@ -129,11 +129,9 @@ def dq009(t: Customer360) -> DataFrame:
 
 def dq010(t: Customer360) -> DataFrame:
     """Only settled payments of completed orders."""
-    orders = t.fact_order.where(predicates.completed()).select("order_key", "gross_order_amount")
-    payments = t.fact_payment.where(predicates.settled()).select("payment_key", "order_key", "payment_amount")
     gap = F.col("payment_amount") - F.col("gross_order_amount")
     return _found(
-        payments.join(orders, "order_key").where(predicates.differs(gap)),
+        t.order_payments.where(predicates.completed() & predicates.settled() & predicates.differs(gap)),
         "payment_key",
         "Payment {key} settled amount {paid} does not match completed order {order} total {total}",
         paid=shown_amount(F.col("payment_amount")),

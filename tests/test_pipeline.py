@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from recon360.model import SEQ, Staging
+from recon360.operators import references
 from recon360.plans import answers, job, rules
 from recon360.plans.conform import Customer360
 
@@ -260,6 +261,7 @@ def test_tickets_answer_against_the_plain_joins(spark, store):
     t.fact_payment = spark.createDataFrame(pays, "payment_key string, order_key string, payment_status string, a string").selectExpr("*", "cast(a as decimal(18,4)) payment_amount")
     t.fact_customer_issue = spark.createDataFrame(tickets, "ticket_id string, customer_key string, issue_category string, sentiment string")
     t.dim_customer = spark.createDataFrame(names, "customer_key string, full_name string")
+    t.order_payments = store("pairs", references.payments_of_orders(t.fact_order, t.fact_payment))
     for name in ("fact_order", "fact_payment", "fact_customer_issue", "dim_customer"):
         getattr(t, name).createOrReplaceTempView(name)
     bad = "o.quantity <= 0 and lower(o.order_status) = 'completed'"
