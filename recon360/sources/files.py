@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from recon360.model import DEFAULT_QUESTIONS, DEFAULT_RULES, SEQ, Rule
 
+UNEVEN_ROW = "_uneven_row"  # the text of a row with another number of fields than the header
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
@@ -31,17 +32,29 @@ def _quotes_span_lines(spark: SparkSession, path: str) -> bool:
 
 
 def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    """Header names the columns, every field is text, blank fields are ``''``.
+    """Header names the columns, every field is text, blank fields are ``''``, fields a row lacks NULL.
+
+    All part files of a folder must have the same header: another order or name of columns is an error,
+    not a shift of values. In a row that is too short the blanks before its last filled field stay
+    blank.
 
     Files with fields that span lines cannot be split, so by default a look at the quotes decides;
-    all other files are read in parallel splits.
+    all other files are read in parallel splits. ``multi_line=False`` saves that look and always splits.
     """
     if multi_line is None:
         multi_line = _quotes_span_lines(spark, path)
-    raw = spark.read.options(**CSV_FORMAT, inferSchema=False, multiLine=multi_line).csv(path)
-    return raw.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns], _file_order().alias(SEQ)
-    )
+    reader = spark.read.options(**CSV_FORMAT, inferSchema=False, multiLine=multi_line)
+    columns = reader.csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in (*columns, UNEVEN_ROW)]
+    checked = reader.options(enforceSchema=False, columnNameOfCorruptRecord=UNEVEN_ROW, columnPruning=False)
+    raw = checked.schema(T.StructType(fields)).csv(path)
+    return raw.select(*[_field(columns, i).alias(c) for i, c in enumerate(columns)], _file_order().alias(SEQ))
+
+
+def _field(columns: list[str], i: int) -> Column:
+    c, later = F.col(f"`{columns[i]}`"), [F.col(f"`{x}`").isNotNull() for x in columns[i + 1 :]]
+    inside = F.coalesce(*[F.when(x, F.lit("")) for x in later]) if later else F.lit(None).cast("string")
+    return F.when(F.col(UNEVEN_ROW).isNull(), F.coalesce(c, F.lit(""))).otherwise(F.coalesce(c, inside))
 
 
 def _as_text(field: T.StructField) -> Column:

@@ -142,3 +142,31 @@ def test_incremental_tickets(spark, tmp_path):
     write(tmp_path / "in" / "1.jsonl", '{"ticket_id": "T1", "sentiment": null}\n{"ticket_id": "T2", "customer_id": "C"}\n')
     incremental.ingest_new_files(spark, "support_tickets", source, target, state)
     assert rows(incremental.read_staging(spark, target), "ticket_id", "customer_id", "sentiment") == [("T1", None, None), ("T2", "C", None)]
+
+
+def test_short_rows_end_in_null(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b,c,d\n1,,3\n1,2,3,\n"x,y"\n1,2,3,4,5\n,,,\n')
+    assert rows(files.scan_csv(spark, path), "a", "b", "c", "d") == [
+        ("1", "", "3", None), ("1", "2", "3", ""), ("x,y", None, None, None), ("1", "2", "3", "4"), ("", "", "", ""),
+    ]
+    assert rows(files.scan_csv(spark, path).select("d", SEQ), "d")[0] == (None,)
+
+
+def test_part_files_with_other_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder / "a.csv", "id,name\n1,ann\n")
+    write(folder / "b.csv", "name,id\nbob,2\n")
+    with pytest.raises(Exception):
+        files.scan_csv(spark, str(folder)).collect()
+
+
+def test_a_stray_quote_still_splits_on_request(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,text\n" + "".join(f'{i},pipe {i}" wide\n' for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        df = files.scan_csv(spark, path, multi_line=False)
+        assert df.select(F.spark_partition_id()).distinct().count() > 3 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
