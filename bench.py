@@ -24,6 +24,7 @@ BUILDS = {
     "build_dim_product": lambda run: run.dim_product,
     "build_fact_order": lambda run: run.fact_order,
     "build_fact_payment": lambda run: run.fact_payment,
+    "build_order_payments": lambda run: run.order_payments,
     "build_fact_customer_issue": lambda run: run.fact_customer_issue,
     "build_dq_exceptions": lambda run: run.exceptions,
 }
@@ -31,7 +32,8 @@ HEADLINE = [
     "bq1_revenue_by_month", "bq2_top_customers", "bq3_problem_orders", "bq4_revenue_by_state",
     "bq5_tickets_vs_exceptions", "dq_summary", "dq_detail", "parse_dates", "parse_money", "dedup_first",
     "dedup_most_complete", "duplicate_ids", "duplicate_pairs", "fk_resolve_orders", "order_amounts",
-    "orders_with_payments", "dq004", "dq005", "dq007", "dq008", "dq010", "dq014",
+    "orders_with_payments", "dq004", "dq005", "dq007", "dq008", "dq010", "dq014", "scan_csv_text", "scan_jsonl_text",
+    "dq_exceptions_export", "check_row_accounting", "check_referential", "check_amounts", "check_parsing", "check_key_unique",
 ]
 
 
