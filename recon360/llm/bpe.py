@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -27,8 +28,8 @@ from recon360.llm.common import pick, text_slices
 
 # A vocabulary file is sent to every executor; larger files are refused.
 MOST_VOCAB_BYTES = 64 << 20
-# Pieces a task remembers before it starts afresh.
-REMEMBERED = 500_000
+# Pieces a task remembers; those not met again while it learns half as many new ones are forgotten.
+REMEMBERED = 1_000_000
 
 # Longer pieces are not remembered.
 REMEMBERED_LENGTH = 64
@@ -36,11 +37,17 @@ REMEMBERED_LENGTH = 64
 # The characters with the property White_Space, and the letters of Latin-1.
 _SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# A word that ends before white space or one of five marks; otherwise all up to the next white space.
-# The splitting pattern cuts before white space that follows something else, and between a letter and
-# such a mark, whatever stands around them.
-PIECES = re.compile(rf" ?[{_LETTERS}]+(?=[{_SPACES},.;:!?]|\Z)|[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
+# A line end before a letter; a word that ends before white space or one of six marks; otherwise all up
+# to the next white space. The splitting pattern cuts before white space that follows something else,
+# between a single line end and a letter, and between a letter and such a mark, whatever stands around.
+PIECES = re.compile(
+    rf"\n(?=[{_LETTERS}])| ?[{_LETTERS}]+(?=[{_SPACES},.;:!?]|\Z)|[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+"
+)
+# Where white space meets a space, pieces do not start at every space.
+_SPACES_MEET = re.compile(rf" [{_SPACES}]|[{_SPACES}] ")
+_ASCII_SPACES_MEET = tuple(pair for c in " \t\n\x0b\x0c\r" for pair in {" " + c, c + " "})
 _WORD = re.compile(rf" ?[{_LETTERS}]+\Z")
+_MARKED_WORD = re.compile(rf"[{_LETTERS}]+([,.;:!?]?)\Z")
 
 
 def byte_characters() -> list[str]:
@@ -98,32 +105,57 @@ def load_tokenizer(name: str, data: bytes) -> Tokenizer:
     return tokenizer
 
 
+def spaces_meet(text: str) -> bool:
+    if text.isascii():
+        return any(pair in text for pair in _ASCII_SPACES_MEET)
+    return _SPACES_MEET.search(text) is not None
+
+
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Codec:
     """Encodes and decodes single texts; remembers the ids of pieces."""
 
     def __init__(self, name: str, data: bytes):
         self.tokenizer = load_tokenizer(name, data)
         self.model = self.tokenizer.model
-        self.known = _Known(self)
+        self.known = _Known(self.piece)
+        self.spaced = _Known(self.after_space)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.token_bytes = [as_bytes(t) if (t := self.tokenizer.id_to_token(i)) is not None else b"" for i in range(size)]
         self.token_lengths = np.array([len(t) for t in self.token_bytes], np.int64)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit integers."""
-        return np.frombuffer(b"".join(map(self.known.__getitem__, PIECES.findall(text))), "<u4")
+        if spaces_meet(text):
+            return np.frombuffer(b"".join(map(self.known.__getitem__, PIECES.findall(text))), "<u4")
+        first, *rest = text.split(" ")
+        start = b"".join(map(self.known.__getitem__, PIECES.findall(first)))
+        return np.frombuffer(start + b"".join(map(self.spaced.__getitem__, rest)), "<u4")
 
     def piece(self, text: str) -> bytes:
-        if _WORD.match(text):  # one match of the pattern: straight to the merges
-            ids = [t.id for t in self.model.tokenize(as_characters(text.encode()))]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        """Ids of one piece."""
+        if _WORD.match(text):
+            return self.word(text)
+        return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, text: str) -> bytes:
+        """Ids of one match of the pattern: straight to the merges."""
+        return little_endian([t.id for t in self.model.tokenize(as_characters(text.encode()))])
+
+    def after_space(self, text: str) -> bytes:
+        """Ids of a space and what follows it up to the next one."""
+        found = _MARKED_WORD.match(text)
+        if not found:
+            return b"".join(map(self.known.__getitem__, PIECES.findall(" " + text)))
+        mark = found[1]
+        return self.spaced[text[:-1]] + self.known[mark] if mark else self.word(" " + text)
 
     def rest(self) -> None:
-        """Forget pieces when there are many."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        """Forget pieces that have not been met for long."""
+        self.known, self.spaced = self.known.aged(), self.spaced.aged()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """The bytes the ids stand for; ids outside the vocabulary stand for none."""
@@ -145,15 +177,26 @@ class Codec:
 
 
 class _Known(dict):
-    def __init__(self, codec: Codec):
-        self.codec = codec
+    """Ids of pieces, worked out when first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes], older: dict[str, bytes] | None = None):
+        self.find, self.older = find, older or {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.codec.piece(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.find(piece)
         if len(piece) <= REMEMBERED_LENGTH:
             self[piece] = ids
         return ids
 
+    def aged(self) -> _Known:
+        """This, or when it is full an empty one that can still look things up here."""
+        if len(self) <= REMEMBERED // 2:
+            return self
+        self.older = {}
+        return _Known(self.find, self)
+
 
 def decode_characters(parts: Iterable[bytes]) -> Iterator[str]:
     """Text of consecutive byte strings; a character split between two of them comes with the second.
