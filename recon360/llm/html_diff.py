@@ -324,11 +324,11 @@ def extract(pages: DataFrame, store: TableStore) -> DataFrame:
     )
     pairs = neighbours(hashed, store)
     each = hashed.groupBy("page").agg(F.first("path").alias("path"), F.first("hashes").alias("hashes"))  # repeated rows are equal
-    others = store(
-        "others",
+    # two at most per page; the pages join them where they are put together, as the key is spread evenly
+    others = (
         pairs.join(each.withColumnRenamed("page", "other"), "other")
         .groupBy("page")
-        .agg(F.array_sort(F.collect_list(F.struct("path", "hashes"))).alias("others")),  # two at most
+        .agg(F.array_sort(F.collect_list(F.struct("path", "hashes"))).alias("others"))
     )
     met = located.select("page_id", "url", "html", "path", "page").join(others, "page", "left")
     texts = met.select("page_id", "url", "html", "path", "others").mapInArrow(_extract, "page_id long, url string, text string")
