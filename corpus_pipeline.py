@@ -45,9 +45,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many documents as there are, sources in proportion to the root of their size, shuffled; a
     document comes as often as it was drawn."""
-    workspace(spark, "stage_mixing")
+    store = workspace(spark, "stage_mixing")
     weights = mixing.tempered_weights(docs, MIX_EXPONENT)
-    mixed = mixing.mix(docs, weights, seed=MIX_SEED)
+    mixed = mixing.mix(docs, weights, seed=MIX_SEED, store=store)
     return leading(mixed, docs.columns)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recon360.llm.common import Rows, let, log_factorial, seeded_uniform
-from recon360.sources.store import constant_rows
+from recon360.sources.store import TableStore, constant_rows
 
 
 def tempered_weights(docs: DataFrame, exponent: float = 0.5, source_col: str = "source") -> DataFrame:
@@ -69,10 +69,13 @@ def rates(docs: DataFrame, weights: DataFrame, total: int | None = None, source_
 
 def mix(
     docs: DataFrame, weights: DataFrame, total: int | None = None, seed: int = 0,
-    id_col: str = "doc_id", source_col: str = "source",
+    id_col: str = "doc_id", source_col: str = "source", store: TableStore | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` plus copy_no (1..k) and shuffle_key, one row per drawn copy.
 
+    With a ``store`` the table of rates is written first: its size is then known, and while it is small
+    the documents are not shuffled to meet it.
+
     Every copy goes to the partition that the hash of its key names and is sorted by the key there, so
     the order of the output has nothing to do with the order or source of the input.
 
@@ -82,6 +85,8 @@ def mix(
     """
     rows = Rows(docs, id_col, source_col)
     table = rates(docs, weights, total, source_col).select(F.col("source").alias("_source"), "low", "cdf")
+    if store:
+        table = store("rates", table)
     drawn = rows.flat.withColumn("_u", seeded_uniform(F.lit(seed), rows.id))
     source = rows[source_col]
     counted = drawn.join(table, source.eqNullSafe(F.col("_source"))).withColumn(

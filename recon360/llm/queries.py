@@ -68,9 +68,9 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    workspace(spark, "mixing")
+    store = workspace(spark, "mixing")
     docs = _table(spark, sf_dir, "documents")
-    return mixing.mix(docs, mixing.tempered_weights(docs, MIX_EXPONENT), seed=MIX_SEED)
+    return mixing.mix(docs, mixing.tempered_weights(docs, MIX_EXPONENT), seed=MIX_SEED, store=store)
 
 
 def op7_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
