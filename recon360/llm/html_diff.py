@@ -1,10 +1,11 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
-Pages of a host are put in the order of their URL paths; each is paired with the one of its two
-neighbours whose path begins like its own for longer. The lines of both (one per block element) are
-aligned by a longest common subsequence, and what both have is template and goes. Lines inside an
-``article`` or ``main`` element are held against the template as a whole: two articles may quote the
-same passage, so such an element goes only where the neighbour has all of it and the page has another.
+Pages of a host with the same lines are one page. The different pages are put in the order of their URL
+paths; each is paired with the nearest of the pages around it, the one whose path begins like its own for
+longest. The lines of both (one per block element) are aligned by a longest common subsequence, and what
+both have is template and goes. Lines inside an ``article`` or ``main`` element are held against the
+template as a whole: two articles may quote the same passage, so such an element goes only where the
+neighbour has all of it and the page has another, and one of its lines only where the pages around agree.
 Menus, forms and the like that differ from page to page go by what their elements say they are.
 """
 
@@ -13,7 +14,8 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections import Counter, deque
+from collections.abc import Iterator, Sequence, Set
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -25,8 +27,11 @@ from pyspark.sql import functions as F
 from recon360.llm.common import pick, text_slices
 from recon360.sources.store import TableStore
 
-# Pages that share more of their text than this are copies, which tell nothing about a template.
+# Pages that share more of their text than this may be near copies: the page around that shares least is
+# asked instead. Lines that hold more of an article than this are no template.
 COPY_SHARE = 0.5
+# Different pages looked at on either side of a page.
+REACH = 2
 
 # --- blocks of a page; the sets are fixed values: names from the HTML standard and common class names
 
@@ -189,25 +194,52 @@ def _alike(path: str, other: str) -> int:
 
 
 def shared_lines(page: list[Line], path: str, neighbours: Sequence[tuple[str, Sequence[int]]]) -> set[int]:
-    """Positions of the lines that the nearest neighbour which is no copy of the page has too."""
+    """Positions of the template's lines: those that the nearest page around has too.
+
+    A page that shares more than ``COPY_SHARE`` of the text may be a near copy or have little text of its
+    own. If all do, the one that shares least tells the template, unless either side has no line besides.
+    """
     own = [xxhash.xxh64_intdigest(line.text.encode("utf-8", "surrogatepass")) - (1 << 63) for line in page]
-    whole = sum(len(line.text) for line in page if not line.unwanted)
+    wanted = {i for i, line in enumerate(page) if not line.unwanted}
+    whole = sum(len(page[i].text) for i in wanted)
+    least: tuple[int, set[int]] | None = None
     for _, hashes in sorted(neighbours, key=lambda n: -_alike(path, n[0])):
         found = common_lines(own, hashes)
-        if sum(len(page[i].text) for i in found if not page[i].unwanted) <= COPY_SHARE * whole:
+        share = sum(len(page[i].text) for i in found & wanted)
+        if share <= COPY_SHARE * whole:
             return found
-    return set()
+        if wanted - found and len(found) < len(hashes) and (least is None or share < least[0]):
+            least = share, found
+    return least[1] if least else set()
 
 
-def main_text(page: list[Line], shared: set[int]) -> str:
-    """What is left when shared and unwanted lines have gone; blocks joined by an empty line."""
+def recurring_lines(page: list[Line], neighbours: Sequence[tuple[str, Sequence[int]]]) -> set[int]:
+    """Positions of lines that most of the pages around have, and two at least."""
+    own = [xxhash.xxh64_intdigest(line.text.encode("utf-8", "surrogatepass")) - (1 << 63) for line in page]
+    around = [set(hashes) for _, hashes in neighbours]
+    counts = [sum(h in others for others in around) for h in own]
+    return {i for i, n in enumerate(counts) if n >= 2 and 2 * n > len(around)}
+
+
+def main_text(page: list[Line], shared: set[int], recurring: Set[int] = frozenset()) -> str:
+    """What is left when shared and unwanted lines have gone; blocks joined by an empty line.
+
+    A line in an ``article`` or ``main`` element goes if it is shared and recurring, unless such lines hold
+    more than ``COPY_SHARE`` of the element's text: then the pages around are near copies of it.
+    """
     wanted = [i for i, line in enumerate(page) if not line.unwanted]
     mains = {page[i].main for i in wanted if page[i].main}
-    if mains:
-        own = {page[i].main for i in wanted if page[i].main and i not in shared}
-        mains = own or mains  # an element the neighbour has whole is template, unless all are
-        return "\n\n".join(page[i].text for i in wanted if page[i].main in mains)
-    return "\n\n".join(page[i].text for i in wanted if i not in shared)
+    if not mains:
+        return "\n\n".join(page[i].text for i in wanted if i not in shared)
+    own = {page[i].main for i in wanted if page[i].main and i not in shared}
+    mains = own or mains  # an element the neighbour has whole is template, unless all are
+    template = shared & recurring
+    whole, common = Counter(), Counter()
+    for i in wanted:
+        whole[page[i].main] += len(page[i].text)
+        common[page[i].main] += len(page[i].text) * (i in template)
+    kept = {m for m in mains if common[m] > COPY_SHARE * whole[m]}
+    return "\n\n".join(page[i].text for i in wanted if page[i].main in mains and (i not in template or page[i].main in kept))
 
 
 # --- on Spark
@@ -222,70 +254,80 @@ def _hash_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in URL order, each with the page before and after it in the same partition and host."""
-    part, order = TaskContext.get().partitionId(), 0
-    before = current = None
-
-    def row(after: tuple | None) -> dict:
-        host, path, page = current
-        previous = before if before and before[0] == host else None
-        following = after if after and after[0] == host else None
-        return {
-            "part": part, "place": order, "host": host, "path": path, "page": page,
-            "previous": previous[2] if previous else None, "following": following[2] if following else None,
-            "edge": before is None or after is None,
+def _chain(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
+    """Rows in URL order, each with the ``reach`` pages before and after it in the same partition and host,
+    nearest first."""
+    part, place = TaskContext.get().partitionId(), 0
+    before: deque[tuple] = deque(maxlen=reach)  # nearest first
+    waiting: deque[tuple] = deque()  # the row that is next and those after it
+
+    def row() -> dict:
+        nonlocal place
+        host, path, page = waiting.popleft()
+        after = list(waiting)[:reach]
+        out = {
+            "part": part, "place": place, "host": host, "path": path, "page": page,
+            "previous": [b[2] if b[0] == host else None for b in before] + [None] * (reach - len(before)),
+            "following": [a[2] if a[0] == host else None for a in after] + [None] * (reach - len(after)),
+            "edge": place < reach or len(after) < reach,
         }
+        before.appendleft((host, path, page))
+        place += 1
+        return out
 
     for batch in batches:
         out = []
         for item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if current is not None:
-                out.append(row(item))
-                before, order = current, order + 1
-            current = item
+            waiting.append(item)
+            if len(waiting) > reach:
+                out.append(row())
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=_CHAIN)
-    if current is not None:
-        yield pa.RecordBatch.from_pylist([row(None)], schema=_CHAIN)
+    if waiting:
+        yield pa.RecordBatch.from_pylist([row() for _ in range(len(waiting))], schema=_CHAIN)
 
 
 _CHAIN = pa.schema(
     [
         ("part", pa.int32()), ("place", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("page", pa.int64()),
-        ("previous", pa.int64()), ("following", pa.int64()), ("edge", pa.bool_()),
+        ("previous", pa.list_(pa.int64())), ("following", pa.list_(pa.int64())), ("edge", pa.bool_()),
     ]
 )
 
 
-def neighbours(hashed: DataFrame, store: TableStore) -> DataFrame:
-    """(page, other): each page with the pages before and after it in its host's order of paths.
+def neighbours(hashed: DataFrame, store: TableStore, reach: int = 1) -> DataFrame:
+    """(page, other): each page with the ``reach`` pages before and after it in its host's order of paths.
 
     The pages are sorted once over the whole cluster, so a host of any size takes many tasks. The first
-    and last page of each sorted partition, two rows per partition, are put together afterwards.
+    and last pages of each sorted partition, a few rows per partition, are put together afterwards.
     """
     keys = hashed.select("host", "path", "page").distinct()
     ordered = keys.repartitionByRange("host", "path", "page").sortWithinPartitions("host", "path", "page")
     chain = store(
         "chain",
         ordered.mapInArrow(
-            _chain,
-            "part int, place long, host string, path string, page long, previous long, following long, edge boolean",
+            lambda batches: _chain(batches, reach),
+            "part int, place long, host string, path string, page long, previous array<long>, following array<long>, edge boolean",
         ),
     )
     by_place = Window.orderBy("part", "place")  # over the edges of partitions alone
+    steps = range(1, reach + 1)
+    near = [(f, side, k) for f, side in ((F.lag, "previous"), (F.lead, "following")) for k in steps]
     edges = chain.where("edge").select(
         "page", "host", "previous", "following",
-        F.lag("page").over(by_place).alias("page_before"), F.lag("host").over(by_place).alias("host_before"),
-        F.lead("page").over(by_place).alias("page_after"), F.lead("host").over(by_place).alias("host_after"),
+        *[f(name, k).over(by_place).alias(f"{side}_{name}_{k}") for f, side, k in near for name in ("page", "host")],
     )
     joined = edges.select(
         "page",
-        F.coalesce("previous", F.when(F.col("host_before") == F.col("host"), F.col("page_before"))).alias("previous"),
-        F.coalesce("following", F.when(F.col("host_after") == F.col("host"), F.col("page_after"))).alias("following"),
+        F.array(
+            *[
+                F.coalesce(F.get(side, F.lit(k - 1)), F.when(F.col(f"{side}_host_{k}") == F.col("host"), F.col(f"{side}_page_{k}")))
+                for _, side, k in near
+            ]
+        ).alias("others"),
     )
-    both = chain.where("not edge").select("page", "previous", "following").unionByName(joined)
-    return both.select("page", F.explode(F.array("previous", "following")).alias("other")).where("other is not null")
+    both = chain.where("not edge").select("page", F.concat("previous", "following").alias("others")).unionByName(joined)
+    return both.select("page", F.explode("others").alias("other")).where("other is not null")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +336,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, path, others in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
             found = lines(page)
             near = [(o["path"], o["hashes"]) for o in others or ()]
-            texts.append(main_text(found, shared_lines(found, path or "", near)))
+            texts.append(main_text(found, shared_lines(found, path or "", near), recurring_lines(found, near)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -302,9 +344,9 @@ def extract(pages: DataFrame, store: TableStore) -> DataFrame:
     """page_id, url, text and n_chars (code points), one row per page.
 
     A null or empty page has an empty text. A null URL, or one without a host, belongs to the host ''.
-    Repeated rows give a row each but are one page among the neighbours. Pages without a neighbour, or
-    whose neighbours are copies of them, lose only what their own elements give away. Other columns are
-    ignored.
+    Pages of a host with the same lines give a row each but are one page, at the first of their URLs, when
+    it comes to what lies around it. Pages of a host that has no other page lose only what their own
+    elements give away. Other columns are ignored.
     """
     rows = pick(pages, "page_id", "url", "html")
     filled = F.coalesce("url", F.lit(""))
@@ -322,14 +364,30 @@ def extract(pages: DataFrame, store: TableStore) -> DataFrame:
             _hash_pages, "page long, host string, path string, hashes array<long>"
         ),
     )
-    pairs = neighbours(hashed, store)
-    each = hashed.groupBy("page").agg(F.first("path").alias("path"), F.first("hashes").alias("hashes"))  # repeated rows are equal
-    # two at most per page; the pages join them where they are put together, as the key is spread evenly
-    others = (
-        pairs.join(each.withColumnRenamed("page", "other"), "other")
-        .groupBy("page")
-        .agg(F.array_sort(F.collect_list(F.struct("path", "hashes"))).alias("others"))
+    # the first page of each host that has these lines stands for all of them
+    digest = F.struct(F.xxhash64("hashes").alias("a"), F.hash("hashes").alias("b"), F.size("hashes").alias("n"))
+    marked = hashed.select("page", "host", "path", digest.alias("digest"))
+    first = marked.groupBy("host", "digest").agg(
+        F.min(F.struct("path", "page")).alias("one"), (F.min("page") < F.max("page")).alias("copied")
     )
+    first = store("first", first.select("host", "digest", "one.path", "one.page", "copied"))
+    pairs = neighbours(first, store, REACH)
+    each = hashed.groupBy("page").agg(F.first("path").alias("path"), F.first("hashes").alias("hashes"))  # repeated rows are equal
+
+    def met_with(pairs: DataFrame) -> DataFrame:
+        # four at most per page; the pages join them where they are put together, as the key is spread evenly
+        return (
+            pairs.join(each.withColumnRenamed("page", "other"), "other")
+            .groupBy("page")
+            .agg(F.array_sort(F.collect_list(F.struct("path", "hashes"))).alias("others"))
+        )
+
+    others = met_with(pairs)
+    copied = first.where("copied")
+    if not copied.isEmpty():  # written first, so that a large group of copies is split
+        of_first = store("of_first", met_with(pairs.join(copied.select("page"), "page", "left_semi")).withColumnRenamed("page", "one"))
+        copies = marked.join(copied.select("host", "digest", F.col("page").alias("one")), ["host", "digest"]).where("page <> one")
+        others = others.unionByName(store("copies", copies.select("page", "one").distinct()).join(of_first, "one").select("page", "others"))
     met = located.select("page_id", "url", "html", "path", "page").join(others, "page", "left")
     texts = met.select("page_id", "url", "html", "path", "others").mapInArrow(_extract, "page_id long, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

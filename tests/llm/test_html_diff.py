@@ -112,3 +112,35 @@ def test_messy_table(spark, work):
         (str(i), t, len(t)) for i, t in ((1, "no address"), (None, "x"), (2, ""), (3, ""), (4, "no address either"), (4, "no address either"), (None, ""))
     )
     assert h.extract(pages.limit(0), type(work)(spark, work.path("none"))).count() == 0
+
+
+def test_a_long_template_goes_from_short_pages(spark, work):
+    page = "<div>{}</div><p>short story {}</p><div>{}</div>"
+    rows = [(i, f"http://a.example/{i}", page.format("the shop's banner " * 9, i, "its terms of use " * 9)) for i in range(1, 6)]
+    assert {i: r.text for i, r in _texts(spark, work, rows).items()} == {i: f"short story {i}" for i in range(1, 6)}
+
+
+def test_copies_are_held_against_the_nearest_different_page(spark, work):
+    page = "<div>Example Shop</div><p>{}</p><div>Back to the top</div>"
+    rows = [(i, f"http://a.example/copy/{i:02d}", page.format("one story " * 9)) for i in range(12)]
+    rows += [(i, f"http://a.example/other/{i}", page.format(f"story number {i} " * 9)) for i in (50, 51)]
+    got = _texts(spark, work, rows)
+    assert {got[i].text for i in range(12)} == {("one story " * 9).strip()}
+    assert got[50].text == ("story number 50 " * 9).strip()
+
+
+def test_a_near_copy_tells_nothing_while_another_page_is_around(spark, work):
+    page = "<div>Example Shop</div><p>{}</p><p>{}</p><div>Back to the top</div>"
+    rows = [(i, f"http://a.example/a/{i}", page.format("one long story " * 9, f"seen {i} times")) for i in (1, 2)]
+    rows += [(3, "http://a.example/b", page.format("another story " * 9, "never seen"))]
+    assert _texts(spark, work, rows)[1].text == ("one long story " * 9).strip() + "\n\nseen 1 times"
+
+
+def test_recurring_lines_go_from_an_article(spark, work):
+    page = "<article><p>{}</p><p>Share this story</p></article>"
+    rows = [(i, f"http://a.example/{i}", page.format(f"story number {i} " * 9)) for i in range(1, 5)]
+    got = _texts(spark, work, rows)
+    assert {i: r.text for i, r in got.items()} == {i: (f"story number {i} " * 9).strip() for i in range(1, 5)}
+    # near copies agree on the story as well, which is no template
+    rows = [(i, f"http://b.example/{i}", f"<article><p>{'one story ' * 9}</p><p>seen {i} times</p></article>") for i in range(1, 5)]
+    assert _texts(spark, type(work)(spark, work.path("b")), rows)[1].text == ("one story " * 9).strip() + "\n\nseen 1 times"
