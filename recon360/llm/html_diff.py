@@ -35,7 +35,14 @@ REACH = 2
 
 # --- blocks of a page; the sets are fixed values: names from the HTML standard and common class names
 
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|audio|video"
+RAW = "script|style|noscript|template|iframe|object|textarea|select|canvas|audio|video"
+FOREIGN = {"svg", "math"}
+# Elements of HTML inside of those, and start tags that end an open one.
+INTEGRATED = {"foreignobject", "annotation-xml"}
+BREAKS_OUT = {
+    "blockquote", "body", "center", "dd", "div", "dl", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr", "li", "menu",
+    "ol", "p", "pre", "table", "ul",
+}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl",
@@ -55,18 +62,29 @@ CLASSES = {
     "navigation", "newsletter", "notice", "notification", "pagination", "pager", "popup", "promo", "promotion", "related",
     "replies", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar",
     "widget",
+    "ad-banner", "ad-box", "ad-container", "ad-slot", "ad-unit", "ad-wrapper", "comment-form", "comment-list", "comment-respond",
+    "comments-area", "comments-section", "cookie-banner", "cookie-bar", "cookie-consent", "cookie-notice", "footer-widgets",
+    "main-menu", "main-nav", "main-navigation", "nav-bar", "nav-links", "nav-menu", "newsletter-signup", "page-footer",
+    "post-navigation", "related-articles", "related-posts", "share-buttons", "sharing-buttons",
+    "site-footer", "site-header", "site-nav", "site-navigation", "social-links", "social-media", "social-share", "widget-area",
 }
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|</[^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([a-z][a-z-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.I)
-_PART = re.compile(r"[^a-z0-9]+")
+_JOINT = re.compile(r"[_-]+")
+
+
+def _names(value: str) -> set[str]:
+    """The class names of a value, as written but for the case and the way their parts are joined."""
+    return {_JOINT.sub("-", name).strip("-") for name in value.split()}
 
 
 def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
+    """Whether what an element says of itself makes it no text."""
     if tag in NEVER or (tag == "header" and not in_main):
         return True
     if not attributes or tag in MAIN or tag in ("html", "body"):
@@ -75,7 +93,7 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
         name, value = name.lower(), "".join(values[:3]).lower()
         if values[3] or (name == "aria-hidden" and value == "true"):
             return True
-        if name in ("class", "id") and CLASSES & set(_PART.split(value)):
+        if name in ("class", "id") and CLASSES & _names(value):
             return True
         if name == "role" and value in ROLES or name == "style" and "display:none" in value.replace(" ", ""):
             return True
@@ -89,34 +107,77 @@ class Line:
     unwanted: bool
 
 
+class _Element:
+    """An unwanted element: what it holds may show that its name means something else."""
+
+    def __init__(self, tag: str):
+        self.weak = tag == "form" or tag not in NEVER | {"header"}  # judged by attributes, or a form
+        self.holds_main = self.holds_article = False
+        self.characters = 0
+        self.holds = True
+
+
+def _believe(found: list[tuple[str, int, tuple[_Element, ...]]]) -> None:
+    """Decide which unwanted elements are so.
+
+    One that holds a ``main`` element is not. Where no article is left, neither is one that holds an
+    article, nor one known by its attributes, or a form, that holds more than half of the page's text.
+    """
+    elements = {id(e): e for _, _, around in found for e in around}.values()
+    for e in elements:
+        e.holds = not e.holds_main
+    if any(main and not any(e.holds for e in around) for _, main, around in found):
+        return
+    whole = 0
+    for text, _, around in found:
+        if all(e.weak for e in around if e.holds):
+            whole += len(text)
+            for e in around:
+                e.characters += len(text)
+    for e in elements:
+        e.holds = e.holds and not e.holds_article and not (e.weak and 2 * e.characters > whole)
+
+
 def lines(page: str | None) -> list[Line]:
     """The blocks of a page with text, in order. Character references decoded, white space collapsed."""
-    found: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, unwanted, begins a main element
+    found: list[tuple[str, int, tuple[_Element, ...]]] = []
+    stack: list[tuple[str, _Element | None, bool]] = []  # tag, itself if unwanted, begins a main element
+    around: tuple[_Element, ...] = ()  # the unwanted elements that are open
     parts: list[str] = []
-    mains = 0
-    unwanted = in_main = 0
+    mains = in_main = 0
+    foreign: list[str] = []  # open elements of a drawing or formula, which has no text
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            found.append(Line(text, mains if in_main else 0, unwanted > 0))
+            found.append((text, mains if in_main else 0, around))
 
     def pop(to: int) -> None:
-        nonlocal unwanted, in_main
+        nonlocal around, in_main
         while len(stack) > to:
             _, bad, main = stack.pop()
-            unwanted -= bad
+            around = around[:-1] if bad else around
             in_main -= main
 
     source, at = page or "", 0
     for token in _TOKEN.finditer(source):
-        parts.append(source[at : token.start()])
+        if not foreign:
+            parts.append(source[at : token.start()])
         at = token.end()
         tag = (token["tag"] or "").lower()
         if not tag:
             continue
+        alone = not token["close"] and token["attributes"].endswith("/")
+        if foreign and tag in BREAKS_OUT and not token["close"] and not INTEGRATED & set(foreign):
+            foreign.clear()
+        if foreign or tag in FOREIGN:
+            if token["close"]:
+                if tag in foreign:
+                    del foreign[len(foreign) - 1 - foreign[::-1].index(tag) :]
+            elif not alone and (tag in FOREIGN or tag in INTEGRATED):
+                foreign.append(tag)
+            continue
         if tag == "br":
             parts.append(" ")
         if tag in BLOCK:
@@ -136,15 +197,20 @@ def lines(page: str | None) -> list[Line]:
                     break
         if tag in VOID:
             continue
-        main = tag in MAIN and not in_main and not unwanted
-        bad = _unwanted(tag, token["attributes"], in_main > 0)
+        for e in around if tag in MAIN else ():
+            e.holds_main |= tag == "main"
+            e.holds_article |= tag == "article"
+        main = tag in MAIN and not in_main
+        bad = _Element(tag) if _unwanted(tag, token["attributes"], in_main > 0) else None
         mains += main
         in_main += main
-        unwanted += bad
+        around = (*around, bad) if bad else around
         stack.append((tag, bad, main))
-    parts.append(source[at:])
+    if not foreign:
+        parts.append(source[at:])
     flush()
-    return found
+    _believe(found)
+    return [Line(text, main, any(e.holds for e in inside)) for text, main, inside in found]
 
 
 def line_hashes(page: str | None) -> list[int]:

@@ -144,3 +144,28 @@ def test_recurring_lines_go_from_an_article(spark, work):
     # near copies agree on the story as well, which is no template
     rows = [(i, f"http://b.example/{i}", f"<article><p>{'one story ' * 9}</p><p>seen {i} times</p></article>") for i in range(1, 5)]
     assert _texts(spark, type(work)(spark, work.path("b")), rows)[1].text == ("one story " * 9).strip() + "\n\nseen 1 times"
+
+
+def _own(page):
+    return h.main_text(h.lines(page), set()).split("\n\n")
+
+
+def test_drawings_and_custom_elements_take_no_text_with_them():
+    assert _own('<p>first</p><svg class="icon"/><p>second</p><math/><p>third</p>') == ["first", "second", "third"]
+    assert _own("<p>a <svg><title>no</title><svg><text>no</text></svg><text>no</text></svg> b</p><svg><path><p>c</p>") == ["a b", "c"]
+    assert _own("<svg><foreignObject><p>no</p></foreignObject></svg><p>x</p>") == ["x"]
+    assert _own("<video-player><p>x</p></video-player><select-list><p>y</p></select-list><video>no</video><p>z</p>") == ["x", "y", "z"]
+
+
+def test_names_that_merely_contain_a_word_take_no_text():
+    for name in ("content has-sidebar", "page no-comments", "entry-header", "widget-free"):
+        assert _own(f'<div class="{name}"><p>text</p></div><p>more</p>') == ["text", "more"]
+    assert _own('<div class="Cookie_Banner">no</div><div id="sidebar">no</div><p>a</p><p>b</p>') == ["a", "b"]
+
+
+def test_elements_around_the_text_are_wanted():
+    assert _own('<form><nav>no</nav><div class="widget"><main><p>text</p></main></div></form>') == ["text"]
+    assert _own('<form id="all"><nav>no</nav><article>text</article></form><footer>no</footer>') == ["text"]
+    assert _own(f'<div class="header"><p>{"text " * 9}</p><nav>no</nav></div><div class="comments">nice</div>') == [("text " * 9).strip()]
+    # comments are articles of their own where the page has its article
+    assert _own(f'<article>text</article><section class="comments"><article>{"nice " * 9}</article></section>') == ["text"]
