@@ -7,6 +7,7 @@ and gets the language whose dictionary makes it smallest.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -20,7 +21,7 @@ UNKNOWN = "und"
 # All dictionaries together, and the largest of one language. They are sent to every executor.
 MOST_BYTES = 32 << 20
 DICTIONARY_BYTES = 96 << 10
-# Labelled texts per language that a dictionary is made of, and the characters taken from each.
+# Labelled texts per language that a dictionary is made of, and the characters read of each.
 SAMPLE_TEXTS = 600
 SAMPLE_CHARACTERS = 4096
 LEVEL = 6
@@ -41,28 +42,40 @@ def normalise(text: str) -> str:
 # --- dictionaries
 
 
-def language_sizes(labelled: DataFrame) -> dict[str, int]:
-    """Rows with text per language, the most frequent language first."""
-    rows = labelled.where(_USABLE).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
-    return {r["lang"]: r["n"] for r in sorted(rows, key=lambda r: (-r["n"], r["lang"]))}
+_TOLD = "lang is not null and text is not null and length(text) > 0"
+_LETTER = r"\p{L}"
+
 
+def language_sizes(labelled: DataFrame) -> dict[str, int]:
+    """Different texts with a letter per language, the language with most rows first.
 
-_USABLE = "lang is not null and text is not null and length(text) > 0"
+    A language none of whose texts has a letter cannot be learned; that is reported as a warning.
+    """
+    texts = labelled.where(_TOLD).groupBy("lang", F.xxhash64("text").alias("h"))
+    each = texts.agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("text").rlike(_LETTER)).alias("letter"))
+    rows = each.groupBy("lang").agg(F.sum("n").alias("n"), F.count_if("letter").alias("texts")).collect()
+    silent = sorted(r["lang"] for r in rows if not r["texts"])
+    if silent:
+        warnings.warn(f"languages without a letter in their texts are not learned: {', '.join(silent)}", stacklevel=2)
+    return {r["lang"]: r["texts"] for r in sorted(rows, key=lambda r: (-r["n"], r["lang"])) if r["texts"]}
 
 
 def sample(labelled: DataFrame, sizes: Mapping[str, int], per_language: int = SAMPLE_TEXTS) -> DataFrame:
-    """(lang, text): some ``per_language`` to twice as many different texts of each language.
+    """(lang, h, text): some ``per_language`` to twice as many different texts of each language, or all.
 
-    They are chosen by a hash of the text at a rate that follows from the language's size, so no task
-    meets all texts of a frequent language; equal texts come once.
+    They are chosen by a hash of the text at a rate that follows from the number of the language's
+    different texts, so copies change nothing and no task meets all texts of a frequent language; equal
+    texts come once. Of a longer text ``SAMPLE_CHARACTERS`` are taken, from a place that its hash tells.
     """
-    rows = labelled.where(_USABLE)
+    rows = labelled.where(_TOLD).where(F.col("text").rlike(_LETTER))
     spread = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rate = F.lit(0.0)
     for lang, n in sizes.items():
         rate = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * per_language / n))).otherwise(rate)
+    spare = F.greatest(F.length("text") - SAMPLE_CHARACTERS, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("text", F.lit("place")), spare) + 1).cast("int")
     clipped = rows.where(spread < rate).select(
-        "lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARACTERS).alias("text")
+        "lang", F.xxhash64("text").alias("h"), F.substring("text", start, F.lit(SAMPLE_CHARACTERS)).alias("text")
     )
     return clipped.groupBy("lang", "h").agg(F.max("text").alias("text"))
 
@@ -75,19 +88,35 @@ def build_dictionaries(labelled: DataFrame, per_language: int = SAMPLE_TEXTS) ->
     sizes = language_sizes(labelled)
     if not sizes:
         return {}
-    texts: dict[str, list[str]] = {lang: [] for lang in sizes}
+    texts: dict[str, list[tuple[int, str]]] = {lang: [] for lang in sizes}
     for row in sorted(sample(labelled, sizes, per_language).collect(), key=lambda r: (r["lang"], r["h"])):
-        texts[row["lang"]].append(normalise(row["text"]))
+        text = normalise(row["text"])
+        if text:  # the piece taken of a text may have no letter
+            texts[row["lang"]].append((row["h"], text))
     most = min(DICTIONARY_BYTES, MOST_BYTES // len(texts))
-    return {lang: _content(parts[:per_language], most) for lang, parts in texts.items()}
-
-
-def _content(parts: list[str], most: int) -> bytes:
-    data = [p.encode() + b" " for p in parts if p]
-    share = max(200, most // max(1, len(data)))
-    while sum(min(len(d), share) for d in data) < most and share < most:
-        share *= 2
-    return b"".join(d[:share] for d in data)[:most]
+    found = {lang: _content(parts[:per_language], most) for lang, parts in texts.items()}
+    empty = [lang for lang, content in found.items() if not content]
+    if empty:
+        warnings.warn(f"no letter in the pieces taken of these languages, which are not learned: {', '.join(empty)}", stacklevel=2)
+    return {lang: content for lang, content in found.items() if content}
+
+
+def _content(parts: list[tuple[int, str]], most: int) -> bytes:
+    """A piece of every (hash, text), all of one length but for shorter texts, from a place that the hash tells."""
+    data = [(h, p.encode() + b" ") for h, p in parts]
+    low, high = 0, most  # the longest pieces that fit
+    while low < high:
+        share = (low + high + 1) // 2
+        if sum(min(len(d), share) for _, d in data) <= most:
+            low = share
+        else:
+            high = share - 1
+    return b"".join(_piece(d, h, low) for h, d in data)
+
+
+def _piece(data: bytes, place: int, most: int) -> bytes:
+    start = place % (len(data) - most + 1) if len(data) > most else 0
+    return data[start : start + most]
 
 
 # --- classification

@@ -62,3 +62,27 @@ def test_messy_table(spark, messy, nothing, corpus):
     assert language.build_dictionaries(nothing) == {}
     assert language.predict(messy, {}).where("lang_pred <> 'und'").count() == 0
     assert language.build_dictionaries(messy).keys() == {"en", "de"}
+
+
+def test_copies_do_not_thin_out_a_language(spark):
+    rows = [("aa", _text("aa", f"hot{i // 4000}")) for i in range(4000)] + [("aa", _text("aa", f"aa{i}")) for i in range(30)]
+    rows += [("bb", _text("bb", f"bb{i}")) for i in range(300)]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    assert language.language_sizes(labelled) == {"aa": 31, "bb": 300}
+    found = language.build_dictionaries(labelled, per_language=20)
+    assert list(found) == ["aa", "bb"] and all(len(d) > 1000 for d in found.values())
+
+
+def test_pieces_come_from_all_over_the_texts_and_from_every_text(spark):
+    texts = [" ".join(["kopf"] * 2000 + [f"mitte{chr(97 + i % 26)}"] * 4000) for i in range(26)]
+    labelled = spark.createDataFrame([("aa", t) for t in texts], "lang string, text string")
+    assert len(set(language.build_dictionaries(labelled)["aa"].split()) - {b"kopf"}) > 13
+    parts = [(i * 7919, "abcdefg " * 100) for i in range(600)]
+    content = language._content(parts, language.DICTIONARY_BYTES)
+    assert len(content) == 600 * (language.DICTIONARY_BYTES // 600)
+
+
+def test_a_language_without_letters_is_reported(spark):
+    labelled = spark.createDataFrame([("aa", "ka to"), ("xx", "12 34")], "lang string, text string")
+    with pytest.warns(UserWarning, match="xx"):
+        assert list(language.build_dictionaries(labelled)) == ["aa"]
