@@ -17,10 +17,10 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recon360.llm.common import pick, text_slices
+from recon360.llm.common import pick, text_hash, text_slices
 
 BUCKETS = 1 << 13
 # Labelled rows the model is fitted on, at most; they are the neighbours that vote.
@@ -136,15 +136,16 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], dimensions: int = DIM
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
-        found = [features(t) for t in batch.column(2).to_pylist()]
+        found = [features(t) for t in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 batch.column(1),
+                batch.column(2),
                 pa.array([f[0] for f in found], pa.list_(pa.int32())),
                 pa.array([f[1] for f in found], pa.list_(pa.float32())),
             ],
-            ["doc_id", "label", "bucket", "weight"],
+            ["doc_id", "label", "nth", "bucket", "weight"],
         )
 
 
@@ -152,7 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, references: int = REFERENCES) -> M
     """Fit on at most ``references`` rows of ``labels`` (doc_id, quality), chosen by a hash of their id.
 
     Null ids, null labels and labels without a document are ignored; a document with several labels
-    counts by the lowest. A document that comes twice is two references.
+    counts by the lowest. A document that comes twice is two references; every document's first row comes
+    before a second one, and each of its texts before a repeat, until there are ``2 * references`` rows.
     """
     usable = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     n = usable.count()
@@ -160,12 +162,16 @@ def train(docs: DataFrame, labels: DataFrame, references: int = REFERENCES) -> M
         return fit([])
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     few = usable.where(spread < min(1.0, 2.0 * references / n)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(references)
-    rows = pick(docs, "doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", F.col("quality").cast("int"), "text")
-    found = rows.mapInArrow(_featurise, "doc_id long, label int, bucket array<int>, weight array<float>").collect()
+    most = 2 * references
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(few), "doc_id").withColumn("h", text_hash(F.col("text")))
+    copy = F.row_number().over(Window.partitionBy("doc_id", "h").orderBy("h"))
+    rows = rows.withColumn("copy", copy).where(F.col("copy") <= most)
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("copy", "h"))
+    rows = rows.withColumn("nth", nth).where(F.col("nth") <= most).select("doc_id", F.col("quality").cast("int"), "nth", "text")
+    made = rows.mapInArrow(_featurise, "doc_id long, label int, nth int, bucket array<int>, weight array<float>")
+    found = made.orderBy("nth", "doc_id").limit(most).collect()
     found.sort(key=lambda r: (r["doc_id"], r["bucket"], r["weight"]))
-    return fit(
-        [(np.array(r["bucket"], np.int32), np.array(r["weight"], np.float32), int(r["label"] == 1)) for r in found[: 2 * references]]
-    )
+    return fit([(np.array(r["bucket"], np.int32), np.array(r["weight"], np.float32), int(r["label"] == 1)) for r in found])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

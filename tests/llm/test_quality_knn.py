@@ -73,3 +73,11 @@ def test_messy_table(spark, messy, nothing, model, corpus):
     untrained = knn.train(messy, labels)
     assert {r.score for r in knn.score(messy, untrained).collect()} == {0.5}
     assert len(knn.train(messy, spark.createDataFrame([(3, 1), (3, 0)], "doc_id long, quality int")).labels) == 2
+
+
+def test_repeats_of_one_document_leave_room_for_the_others(spark):
+    rows = [(1, _good(1))] * 200 + [(i, _good(i)) for i in range(2, 12)] + [(11, _bad(3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i != 11)) for i in range(1, 12)], "doc_id long, quality int")
+    found = knn.train(docs, labels, references=11)
+    assert len(found.labels) == 22 and (found.labels == 0).sum() == 2  # both texts of the largest id
