@@ -31,6 +31,8 @@ NEIGHBOURS = 15
 BLOCK = 256
 # How much a property of the whole text counts, as if a word came so many times.
 PROPERTY_COUNT = 200.0
+# Longer words count as consecutive pieces, so texts without spaces are read whole.
+LONG_WORD, PIECE = 64, 16
 
 _DIGITS, _LETTERS = re.compile(r"\d+"), re.compile(r"[^\W\d_]+")
 
@@ -42,9 +44,19 @@ def _bucket(feature: str) -> int:
 @lru_cache(maxsize=200_000)
 def _word_buckets(word: str) -> tuple[int, int, bool]:
     """Buckets of a word and of its shape, and whether it holds a symbol."""
-    shape = _LETTERS.sub("a", _DIGITS.sub("0", word))[:20]
+    shape = _LETTERS.sub("a", _DIGITS.sub("0", word))
     plain = shape.strip(".,;:!?()'\"-")
-    return _bucket("w " + word.lower()[:64]), _bucket("s " + shape), plain not in ("a", "0", "")
+    return _bucket("w " + word.lower()), _bucket("s " + shape), plain not in ("a", "0", "")
+
+
+def _words(text: str) -> list[str]:
+    """The words of a text, those beyond ``LONG_WORD`` characters in pieces that all count."""
+    words = text.split()
+    if all(len(w) <= LONG_WORD for w in words):
+        return words
+    return [
+        piece for w in words for piece in ([w] if len(w) <= LONG_WORD else [w[i : i + PIECE] for i in range(0, len(w), PIECE)])
+    ]
 
 
 def _level(share: float) -> int:
@@ -54,7 +66,7 @@ def _level(share: float) -> int:
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, weight) of a whole text: its words, their shapes, and four properties of the whole."""
-    words = (text or "").split()
+    words = _words(text or "")
     weights: dict[int, float] = {}
     odd = 0
     for word, n in Counter(words).items():

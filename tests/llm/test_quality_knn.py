@@ -81,3 +81,10 @@ def test_repeats_of_one_document_leave_room_for_the_others(spark):
     labels = spark.createDataFrame([(i, int(i != 11)) for i in range(1, 12)], "doc_id long, quality int")
     found = knn.train(docs, labels, references=11)
     assert len(found.labels) == 22 and (found.labels == 0).sum() == 2  # both texts of the largest id
+
+
+def test_every_character_of_a_long_word_counts():
+    same = lambda a, b: all(np.array_equal(x, y) for x, y in zip(knn.features(a), knn.features(b), strict=True))
+    for long in ("语言" * 500, "x" * 1000, "a1" * 30):
+        assert not same(long + "!?" * 10, long + "终了" * 10) and same(long, long)
+    assert knn._words("kurz " + "y" * 40) == ["kurz", "y" * 40]
