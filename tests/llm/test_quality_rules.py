@@ -79,3 +79,20 @@ def test_messy_table(spark, messy, nothing, work):
     assert all(r.kept == (not r.base_failed) for r in got)  # no rule is safe with so few labels
     assert q.apply_rules(messy, labels.limit(0), work).count() == len(messy_rows())
     assert q.apply_rules(nothing, labels, work).count() == 0
+
+
+def test_sql_agrees_where_cutoffs_are_in_force(spark, work):
+    duckdb = pytest.importorskip("duckdb")
+    from recon360.llm.oracle import ORACLE_SQL
+
+    docs, labels = _labelled(spark, 2500, 60, 0.0004)
+    few, few_labels = _labelled(spark, 300, 20, 0.0)  # a stratum too small for a cutoff
+    docs = docs.unionByName(few.selectExpr("doc_id + 10000 as doc_id", "text", "'fr' as lang"))
+    labels = labels.unionByName(few_labels.selectExpr("doc_id + 10000 as doc_id", "quality"))
+    got = q.apply_rules(docs, labels, work).selectExpr("doc_id", "kept", "array_join(rejected_by, ',') as by").collect()
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    con.register("labels", labels.toArrow())
+    expected = con.execute(f"select doc_id, kept, rejected_by from ({ORACLE_SQL['op3_quality_rules']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert sum(not r.kept for r in got if r.doc_id < 10000) >= 60 and all(r.kept for r in got if r.doc_id >= 10000)
