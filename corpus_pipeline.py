@@ -34,11 +34,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked fingerprints the document with the smallest doc_id. Documents without an id cannot be
-    told apart: those whose whole component has none stay."""
+    """Of linked fingerprints the document with the smallest doc_id, those without an id last; of its texts,
+    or of texts without an id, the one with the smallest hash."""
     store = workspace(spark, "stage_simhash")
-    classes = simhash.near_duplicates(docs, store)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = simhash.components(docs, store)
+    gone = classes.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_hash") == F.col("first._hash"))))
     return without_rows(docs, store("gone", gone.select("doc_id", "_hash").distinct()))
 
 

@@ -198,15 +198,25 @@ def near_duplicates(docs: DataFrame, store: TableStore) -> DataFrame:
     null doc_id takes part but names a component only where no id is known (null then). Repeated rows
     give a row each. An empty table gives no rows.
     """
+    return components(docs, store).drop("first")
+
+
+def components(docs: DataFrame, store: TableStore) -> DataFrame:
+    """``near_duplicates`` with ``first``, the struct of the component's smallest doc_id and, of that
+    document's texts, the smallest _hash; null ids come last."""
     prints = store("fingerprints", fingerprints(docs))
-    nodes = store("nodes", prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
+    named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_hash")
+    nodes = store("nodes", prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.min(named).alias("first")))
     roots = smallest_in_component(links(nodes, store), store)
     roots = store("roots", roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct()))
-    rooted = store("rooted", nodes.join(roots, nodes["fp"] == roots["id"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id", "n"))
+    rooted = store("rooted", nodes.join(roots, nodes["fp"] == roots["id"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id", "n", "first"))
     whole = store(
-        "components", rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("n").alias("component_size"))
+        "components",
+        rooted.groupBy("root").agg(
+            F.min("first_id").alias("component_id"), F.sum("n").alias("component_size"), F.min("first").alias("first")
+        ),
     )
     classes = store("classes", rooted.select("fp", "root").join(whole, "root").drop("root"))
     return prints.join(classes, "fp").select(
-        "doc_id", "_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size"
+        "doc_id", "_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size", "first"
     )

@@ -89,3 +89,11 @@ def test_stages_keep_the_columns_and_bear_odd_tables(spark, tmp_path, messy, not
 
 def test_each_stage_calls_one_operator_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "simhash_near_dedup", "mixing", "byte_bpe"]
+
+
+def test_one_document_stays_of_near_copies(spark):
+    near = [_prose(1, 200) + end for end in ("", " ", "\n")]  # other texts with the same words
+    rows = [(7, near[0]), (7, near[1]), (8, near[2]), (7, _prose(500, 200)), (None, "a b c d"), (None, "a b c d ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text.strip()) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(7, near[0]), (7, _prose(500, 200)), (None, "a b c d")], key=str)
