@@ -38,6 +38,28 @@ select d.doc_id, d.text, d.lang, d.source, d.n_chars, copy_no, md5('{MIX_SEED}:'
 from copies join documents d using (doc_id)
 """
 
+OP11 = f"""
+with recursive words as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+shingled as (
+    select doc_id, case when len(w) < 2 then w
+                        else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+    from words
+),
+sets as (select any_value(s) as s, min(doc_id) as node, len(s) as n from shingled where len(s) > 0 group by list_sort(s), len(s)),
+shingles as (select node, n, unnest(s) as shingle from sets),
+links as (
+    select a.node as x, b.node as y from shingles a join shingles b on a.shingle = b.shingle and a.node < b.node
+    group by a.node, b.node, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (select node, node as other from sets union select r.node, l.y from reach r join both_ways l on l.x = r.other),
+named as (select node, min(other) as component_id from reach group by node),
+of_set as (select list_sort(s) as s, component_id from sets join named using (node))
+select d.doc_id, len(d.s)::bigint as n_shingles, coalesce(o.component_id, d.doc_id) as component_id,
+       coalesce(o.component_id, d.doc_id) = d.doc_id as kept
+from shingled d left join of_set o on list_sort(d.s) = o.s
+"""
+
 
 def _op3() -> str:
     risk = Risk()
@@ -103,4 +125,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": _op3(),
     "op5_exact_dedup": OP5,
     "op6_mixing": OP6,
+    "op11_minmax_hash": OP11,
 }

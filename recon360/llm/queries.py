@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm import bpe, exact_dedup, html_diff, language, licenses, mixing, quality_knn, quality_rules, simhash, token_files
+from recon360.llm import (
+    bpe, exact_dedup, html_diff, language, licenses, minmax, mixing, quality_knn, quality_rules, simhash, token_files,
+)
 from recon360.llm.common import crc32_mod, pick, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +100,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, licenses.train(docs, store), store)
 
 
+def op11_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(_table(spark, sf_dir, "documents"), workspace(spark, "minmax"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
@@ -109,4 +115,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality_knn": op8_quality_knn,
     "op9_token_files": op9_token_files,
     "op10_licenses": op10_licenses,
+    "op11_minmax_hash": op11_minmax_hash,
 }

@@ -26,6 +26,7 @@ CONTRACT = {
     "op8_quality_knn": ["doc_id bigint", "held_out boolean", "score double", "predicted int"],
     "op9_token_files": ["doc_id bigint", "start bigint", "n_tokens bigint", "ids_crc32 bigint"],
     "op10_licenses": ["doc_id bigint", "n_licensed bigint", "families string"],
+    "op11_minmax_hash": ["doc_id bigint", "n_shingles bigint", "component_id bigint", "kept boolean"],
 }
 
 
@@ -38,7 +39,7 @@ def duck():
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 12)]
 
 
 @pytest.mark.parametrize("name", QUERIES)
