@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recon360.llm.lexical import TERM
 from recon360.llm.queries import MIX_EXPONENT, MIX_SEED
 from recon360.llm.quality_rules import RULES, Risk
 
@@ -60,6 +61,32 @@ select d.doc_id, len(d.s)::bigint as n_shingles, coalesce(o.component_id, d.doc_
 from shingled d left join of_set o on list_sort(d.s) = o.s
 """
 
+OP12 = f"""
+with d as (
+    select doc_id, regexp_extract_all({_LOWER}, '{TERM}') as t from documents
+),
+counted as (select doc_id, t, len(t) as n from d where len(t) > 0),
+size as (select count(*) as all_docs, sum(n)::bigint as all_terms from counted),
+tfs as (
+    select doc_id, term, count(*) as tf, 75 + (25 * any_value(n) * any_value(all_docs)) // any_value(all_terms) as m
+    from (select doc_id, n, unnest(t) as term from counted), size group by doc_id, term
+),
+weights as (
+    select term, floor(1000 * ln((2 * any_value(all_docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+    from tfs, size group by term
+),
+asked as (
+    select item_id, term, count(*) as times
+    from (select item_id, unnest(regexp_extract_all({_LOWER}, '{TERM}')) as term from benchmark) group by item_id, term
+),
+scored as (
+    select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+    from asked join weights using (term) join tfs using (term) group by item_id, doc_id
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 20
+"""
+
 
 def _op3() -> str:
     risk = Risk()
@@ -126,4 +153,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": OP5,
     "op6_mixing": OP6,
     "op11_minmax_hash": OP11,
+    "op12_lexical_search": OP12,
 }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recon360.llm import (
-    bpe, exact_dedup, html_diff, language, licenses, minmax, mixing, quality_knn, quality_rules, simhash, token_files,
+    bpe, exact_dedup, html_diff, language, lexical, licenses, minmax, mixing, quality_knn, quality_rules, simhash, token_align,
+    token_files,
 )
 from recon360.llm.common import crc32_mod, pick, workspace
 
@@ -18,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ENCODE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FILES_VOCABULARY = "byte_bpe_50k.json"
 FILES_END_ID = 2
+ALIGNED_VOCABULARY = "piece_bpe_32k.model"
 MIX_SEED = 20
 MIX_EXPONENT = 0.5
 
@@ -104,6 +106,18 @@ def op11_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, sf_dir, "documents"), workspace(spark, "minmax"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = workspace(spark, "lexical")
+    index = lexical.build(_table(spark, sf_dir, "documents"), store.path("index"))
+    return lexical.search(index, _table(spark, sf_dir, "benchmark"), store)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = workspace(spark, "token_align")
+    paths = [public_tokenizers.path(name) for name in (FILES_VOCABULARY, ALIGNED_VOCABULARY)]
+    return token_align.align(_table(spark, sf_dir, "documents"), token_align.Tokenizers(spark, *paths), store)
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
@@ -116,4 +130,6 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_licenses": op10_licenses,
     "op11_minmax_hash": op11_minmax_hash,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }
