@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recon360.model import DEFAULT_QUESTIONS, DEFAULT_RULES, SEQ, Rule
+from recon360.sources import quoted
 
 UNEVEN_ROW = "_uneven_row"  # the text of a row with another number of fields than the header
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -25,12 +26,6 @@ def _file_order() -> Column:
     )
 
 
-def _quotes_span_lines(spark: SparkSession, path: str) -> bool:
-    """Whether any line has an odd number of quotes, that is a field may go on in the next line."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
 def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Header names the columns, every field is text, blank fields are ``''``, fields a row lacks NULL.
 
@@ -38,17 +33,23 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     not a shift of values. In a row that is too short the blanks before its last filled field stay
     blank.
 
-    Files with fields that span lines cannot be split, so by default a look at the quotes decides;
-    all other files are read in parallel splits. ``multi_line=False`` saves that look and always splits.
+    Files are read in parallel splits either way. Where fields span lines, lines are put together to
+    records first (``quoted.records``), so by default a look at the quotes decides; ``multi_line=True``
+    or ``False`` saves that look.
     """
     if multi_line is None:
-        multi_line = _quotes_span_lines(spark, path)
+        multi_line = quoted.fields_span_lines(spark, path)
     reader = spark.read.options(**CSV_FORMAT, inferSchema=False, multiLine=multi_line)
     columns = reader.csv(path).columns
-    fields = [T.StructField(c, T.StringType()) for c in (*columns, UNEVEN_ROW)]
-    checked = reader.options(enforceSchema=False, columnNameOfCorruptRecord=UNEVEN_ROW, columnPruning=False)
-    raw = checked.schema(T.StructType(fields)).csv(path)
-    return raw.select(*[_field(columns, i).alias(c) for i, c in enumerate(columns)], _file_order().alias(SEQ))
+    if multi_line:
+        raw = quoted.parsed(quoted.records(spark, path), columns, UNEVEN_ROW, SEQ, {"quote": '"', "escape": '"'})
+        place = F.col(SEQ)
+    else:
+        fields = [T.StructField(c, T.StringType()) for c in (*columns, UNEVEN_ROW)]
+        checked = reader.options(enforceSchema=False, columnNameOfCorruptRecord=UNEVEN_ROW, columnPruning=False)
+        raw = checked.schema(T.StructType(fields)).csv(path)
+        place = _file_order()
+    return raw.select(*[_field(columns, i).alias(c) for i, c in enumerate(columns)], place.alias(SEQ))
 
 
 def _field(columns: list[str], i: int) -> Column:

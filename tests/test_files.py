@@ -1,13 +1,17 @@
 import json
+import random
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from recon360.model import DEFAULT_RULES, SEQ, Rule
 from recon360.plans import rules
 from recon360.plans.conform import fit
 from recon360.model import curated_schema
-from recon360.sources import files, sinks
+from recon360.sources import files, quoted, sinks
 from recon360.streaming import incremental
 
 
@@ -170,3 +174,86 @@ def test_a_stray_quote_still_splits_on_request(spark, tmp_path):
         assert df.select(F.spark_partition_id()).distinct().count() > 3 and df.count() == 20_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def one_task_read(spark, path):
+    """The same fields by one reader per file, that sees every line."""
+    reader = spark.read.options(**files.CSV_FORMAT, multiLine=True)
+    columns = reader.csv(path).columns
+    return reader.csv(path).na.fill("").select(*columns)
+
+
+def _odd_field(rng):
+    return rng.choice(
+        [
+            "plain", "", '5" pipe', '"two\nlines"', '"a\n\n\nb"', '"say ""hi"",\nthen go"', '"\r\n"', '""', '"x"y', ' "not, quoted"', '"ends with quote"""',
+            '"""\n"""', '"\nid,note,n\n"', "é ü", '"' + "long line\n" * 40 + '"', "it's", '"a,b"', 'a"', '"""' + 'q""' * 30 + '"',
+        ]
+    )
+
+
+@pytest.mark.parametrize("size", ["700", "3000", "100000000"])
+def test_fields_over_many_lines_are_read_by_many_tasks(spark, tmp_path, size):
+    rng = random.Random(int(size))
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for part in range(3):
+        end = ["\n", "\r\n", "\n"][part]
+        lines = [f"{part}-{i},{_odd_field(rng)},{_odd_field(rng)}" for i in range(300)]
+        write(folder / f"part-{part}.csv", end.join(["id,note,n", *lines]) + (end if part else ""))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    expected = sorted(tuple(r) for r in one_task_read(spark, str(folder)).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert quoted.fields_span_lines(spark, str(folder))
+        if size == "700":
+            assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+        df = files.scan_csv(spark, str(folder))
+        found = rows(df)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # the reader of whole files turns line ends in fields round where records end in two characters
+    assert sorted(tuple(v.replace("\r\n", "\n") for v in r) for r in found) == sorted(tuple(v.replace("\r\n", "\n") for v in r) for r in expected)
+    assert len(found) == 900 and any("\r\n" in v for r in found for v in r)
+    assert [r[0] for r in found] == [f"{part}-{i}" for part in range(3) for i in range(300)]
+
+
+def test_a_quote_within_a_plain_field_spans_nothing(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'id,note\n1,5" pipe\n2,"x ""y"""\n3, "z\n')
+    assert not quoted.fields_span_lines(spark, path)
+    assert rows(files.scan_csv(spark, path)) == rows(files.scan_csv(spark, path, multi_line=True)) == [("1", '5" pipe'), ("2", 'x "y"'), ("3", ' "z')]
+
+
+def test_a_field_that_is_never_closed_takes_the_rest(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,note\n" + '1,"open\n' + "2,x\n" * 500)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        found = rows(files.scan_csv(spark, path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [("1", "open\n" + "\n".join(["2,x"] * 500))]
+
+
+def test_other_headers_are_refused_where_fields_span_lines(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    write(folder / "a.csv", 'id,note\n1,"x\ny"\n')
+    write(folder / "b.csv", 'note,id\n"x\ny",1\n')
+    with pytest.raises(Exception, match="another header"):
+        files.scan_csv(spark, str(folder)).collect()
+
+
+def test_columns_of_a_file_may_have_any_names(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'file,row,block,record,first\n1,2,"3\n3",4,5\n')
+    assert rows(files.scan_csv(spark, path)) == [("1", "2", "3\n3", "4", "5")]
+
+
+@given(st.lists(st.tuples(st.booleans(), st.booleans()), min_size=1, max_size=30), st.booleans())
+def test_states_compose(functions, state):
+    opens, stays = (np.array(c) for c in zip(*functions, strict=True))
+    expected = []
+    for o, s in functions:
+        expected.append(s if (expected[-1] if expected else state) else o)
+    assert quoted.states_after(opens, stays, state).tolist() == expected
