@@ -8,9 +8,9 @@ values of one permutation. Sets that agree in a band are candidates, which are c
 sets. Two sets at the threshold of 0.8 share none of the 50 bands with a probability of 2.5e-7.
 
 Equal sets are one node, named by a 64-bit hash, so copies are never compared. In a band key all nodes
-first meet the smallest one only. What confirmed links leave apart in a key is then compared by pairs
-of different components; where more than ``MANY`` nodes are left in a key, by exact prefix filtering
-instead: two sets as similar as that share one of the rarest shingles that make up a fifth of either.
+first meet one of them only. What confirmed links leave apart in a key is then compared by pairs of
+different components; keys of more than ``MANY`` nodes are compared in blocks of sets instead, which give
+links and no pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recon360.llm.common import UPPER, pick, text_hash, text_slices
@@ -39,8 +39,11 @@ PERMUTATIONS = ROWS * BANDS // 2
 # the threshold agree in 230 on average; fewer than this happens with a probability below 1e-9.
 AGREEING_BITS = 197
 SKETCH = ["s0", "s1", "s2", "s3"]
-# More nodes than these in one band key that links leave apart are not compared by pairs.
-MANY = 256
+# A band key of more nodes than these that links leave apart is compared in blocks, not by pairs.
+MANY = 64
+# About so many nodes and shingles are in a block.
+BLOCK_NODES = 256
+BLOCK_SHINGLES = 1 << 19
 # Bytes of a text that are cut into words at a time, and shingles that are permuted at a time.
 _SLICE = 1 << 20
 _CHUNK = 2048
@@ -217,58 +220,101 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(named, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _pairs_by_prefix(crowded: DataFrame, sets: DataFrame, store: TableStore) -> DataFrame:
-    """Pairs (a, b) of ``crowded`` (node, root) of different roots that share a shingle among their rarest.
-
-    Sets of n and at least 0.8 n shingles that are similar share 0.8 n of them or more, so of the n
-    shingles in any common order one of the first n - ceil(0.8 n) + 1 is shared.
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One block of nodes that are apart against one block of all: a link for each two roots that have one."""
+    table = pa.Table.from_batches(batches)
+    side, node, root = (table.column(c).to_numpy() for c in ("side", "node", "root"))
+    lists = table.column("shingles").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    values, codes = np.unique(lists.values.to_numpy(zero_copy_only=False), return_inverse=True)
+    owner = np.repeat(np.arange(len(node)), sizes)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    place = np.empty(len(node), np.int64)
+    place[left], place[right] = np.arange(len(left)), np.arange(len(right))
+    shared = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    for start in range(0, len(values), 4096):
+        low, high = np.searchsorted(codes, (start, start + 4096))
+        has = [np.zeros((len(x), 4096), np.float32) for x in (left, right)]
+        for which, matrix in enumerate(has):
+            mine = side[owner[low:high]] == which
+            matrix[place[owner[low:high][mine]], codes[low:high][mine] - start] = 1
+        shared += has[0] @ has[1].T
+    union = sizes[left][:, None] + sizes[right][None, :] - shared
+    alike = (100 * shared.astype(np.float64) >= SIMILAR * union) & (root[left][:, None] != root[right][None, :])
+    a, b = np.nonzero(alike)
+    a, b = left[a], right[b]
+    _, first = np.unique(np.stack((root[a], root[b])), axis=1, return_index=True)
+    a, b = node[a[first]], node[b[first]]
+    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["upper", "lower"])
+
+
+def _links_in_crowds(crowded: DataFrame, sets: DataFrame, store: TableStore) -> DataFrame:
+    """(upper, lower) links between nodes of different roots that meet in a crowded key.
+
+    ``crowded`` has key, node and root. Keys that share nodes are one crowd, so no two nodes are compared
+    for each of their keys. Of a crowd the nodes outside its largest component are compared with all, in
+    blocks: a task holds two blocks of sets, never a crowd, and only links leave it.
     """
-    shingles = store("crowded", crowded.join(sets, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))
-    often = store("often", shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    # shingles of one set alone come first in the order and never meet
-    ranked = shingles.join(often, "s", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "s"))
-    first = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1
-    prefixes = store("prefixes", ranked.withColumn("place", place).where((F.col("place") <= first) & (F.col("df") > 1)).select("s", "node", "root"))
-    mixed = store("mixed", prefixes.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high"))
-    meeting = store("meeting", prefixes.join(mixed.select("s"), "s"))
-    a, b = (meeting.select("s", F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab")
-    return a.join(b, "s").where("a_root < b_root").select("a", "b").distinct()
+    hubs = store("crowd_hubs", crowded.groupBy("key").agg(F.min("node").alias("hub")))
+    met = crowded.join(hubs, "key").where("node != hub").select(F.col("node").alias("upper"), F.col("hub").alias("lower"))
+    crowds = _rooted(crowded.select("node", "root").distinct().withColumnRenamed("root", "component"), smallest_in_component(met, _Below(store, "crowd")))
+    crowds = crowds.withColumnRenamed("root", "crowd").join(sets.select("node", F.size("shingles").alias("n")), "node")
+    crowds = store("crowds", crowds)
+    parts = store("crowd_parts", crowds.groupBy("crowd", "component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("n")))
+    whole = parts.groupBy("crowd").agg(
+        F.max_by("component", F.struct("nodes", "component")).alias("largest"), F.sum("nodes").alias("nodes"), F.sum("n").alias("n")
+    )
+    blocks = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("n") / BLOCK_SHINGLES)).cast("int")
+    whole = store("crowd_sizes", whole.select("crowd", "largest", blocks.alias("blocks")))
+    placed = crowds.join(whole, "crowd").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    names = ("crowd", "node", F.col("component").alias("root"))
+    left = placed.where(F.col("component") != F.col("largest")).select(*names, F.lit(0).alias("side"), F.col("own").alias("i"), others.alias("j"))
+    right = placed.select(*names, F.lit(1).alias("side"), others.alias("i"), F.col("own").alias("j"))
+    dealt = left.unionByName(right).join(sets, "node").drop("n")
+    return dealt.groupBy("crowd", "i", "j").applyInArrow(_compare, "upper long, lower long")
 
 
 def components(docs: DataFrame, store: TableStore) -> tuple[DataFrame, DataFrame]:
     """The signatures, and (node, root) for every node that is not the smallest of its component."""
     signed = store("signatures", signatures(docs))
-    keyed = signed.select(F.explode("keys").alias("key"), "node")
-    ends = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-    shared = store("shared", ends.where("hub < top").drop("top"))
-    members = store("members", keyed.join(shared, "key").groupBy("key", "hub", "node").agg(F.lit(1).alias("one")).drop("one"))
-
-    met = store("met", members.select("node").distinct())
     facts = [F.min(c).alias(c) for c in ("n_shingles", *SKETCH)]
     bearer = F.min(F.struct("doc_id", "_hash")).alias("bearer")
-    nodes = store("nodes", signed.drop("keys").join(met, "node").groupBy("node").agg(*facts, bearer).select("*", "bearer.*").drop("bearer"))
-    bearers = nodes.select("node", F.col("doc_id").alias("_id"), F.col("_hash").alias("_text"))
+    nodes = signed.where("node is not null").groupBy("node").agg(*facts, bearer, F.first("keys").alias("keys"))
+    nodes = store("nodes", nodes.select("*", "bearer.*").drop("bearer"))
+    keyed = nodes.select(F.explode("keys").alias("key"), "node")
+    shared = store("shared", keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = store("members", keyed.join(shared, "key"))
+
+    met = store("met", members.groupBy("node").agg(F.sum("n").alias("company")))
+    bearers = nodes.join(met, "node").select("node", F.col("doc_id").alias("_id"), F.col("_hash").alias("_text"))
     texts = _texts(docs)
     same = texts["doc_id"].eqNullSafe(bearers["_id"]) & (texts["_hash"] == bearers["_text"])
     found = texts.join(bearers, same).select("node", "text").mapInArrow(_sets, "node long, shingles array<long>")
     sets = store("sets", found.dropDuplicates(["node"]))
 
+    # All of a key meet the node that has most company: what copies were made from is closer to each of
+    # them than they are to each other.
+    busy = store("busy", members.join(met, "node"))
+    hubs = store("hubs", busy.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub")))
+    members = store("met_hub", busy.drop("company").join(hubs, "key"))
     stars = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = store("star_links", _confirmed(store("stars", _promising(stars, nodes)), sets))
     roots = store("star_roots", smallest_in_component(links, _Below(store, "star")))
 
     # What the links have left apart in a key.
-    rooted = store("rooted", _rooted(members.select("key", "hub", "node"), roots))
-    spread = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-    apart = store("apart", spread.where("low < high and n > 2").select("key", "n"))
+    rooted = store("rooted", _rooted(members.where("n > 2"), roots))
+    spread = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    apart = store("apart", spread.where("low < high").select("key"))
     left = store("left", rooted.join(apart, "key"))
     few = left.where(F.col("n") <= MANY)
     a, b = (few.select("key", "hub", F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab")
     pairs = a.join(b.drop("hub"), "key").where("a_root < b_root and a != hub and b != hub").select("a", "b").distinct()
-    crowded = left.where(F.col("n") > MANY).select("node", "root").distinct()
-    more = store("pairs", _promising(pairs.unionByName(_pairs_by_prefix(crowded, sets, store)).distinct(), nodes))
-    late = store("late_links", _confirmed(more, sets))
+    late = _confirmed(store("pairs", _promising(pairs, nodes)), sets)
+    crowded = left.where(F.col("n") > MANY).select("key", "node", "root")
+    late = store("late_links", late.unionByName(_links_in_crowds(crowded, sets, store)))
     return signed, store("roots", smallest_in_component(links.unionByName(late), _Below(store, "all")))
 
 

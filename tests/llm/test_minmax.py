@@ -99,22 +99,27 @@ def test_components_match_all_pairs(spark, work, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     expected = brute_force(rows)
     assert 12 < len({c for _, _, c, _ in expected}) < len(rows) - 100
-    for many in (256, 2, 0):  # by pairs, by prefixes where three are left, and by prefixes alone
+    monkeypatch.setattr(minmax, "BLOCK_NODES", 7)
+    for many in (64, 4, 0):  # by pairs, in blocks where more are left, and in blocks alone
         monkeypatch.setattr(minmax, "MANY", many)
         assert got(minmax.near_duplicates(docs, type(work)(spark, work.path(f"many{many}")))) == expected
 
 
-def test_prefixes_find_every_similar_pair(spark, work):
+def test_blocks_join_what_is_similar(spark, work, monkeypatch):
     rng = random.Random(5)
     bases = [rng.sample(range(80), 20) for _ in range(15)]
     sets = [(i, sorted({*bases[i % 15][rng.randint(0, 3) :], *rng.sample(range(80), rng.randint(0, 3))})) for i in range(300)]
-    similar = {
-        (i, j) for i, a in sets for j, b in sets if i < j and 100 * len({*a} & {*b}) >= 80 * len({*a} | {*b})
-    }
+    similar = [(i, j) for i, a in sets for j, b in sets if i < j and 100 * len({*a} & {*b}) >= 80 * len({*a} | {*b})]
     table = spark.createDataFrame(sets, "node long, shingles array<long>")
-    crowded = table.selectExpr("node", "node as root")
-    found = {(r.a, r.b) for r in minmax._pairs_by_prefix(crowded, table, work).collect()}
-    assert similar and similar <= found and len(found) < 300 * 299 / 2
+    crowded = table.selectExpr("1L as key", "node", "node as root").unionByName(table.selectExpr("2L as key", "node", "node as root").where("node < 5"))
+    monkeypatch.setattr(minmax, "BLOCK_NODES", 40)
+    found = {(r.lower, r.upper) for r in minmax._links_in_crowds(crowded, table, work).collect()}
+    assert found == set(similar) and len(similar) > 100
+    # of each two components one link is enough
+    joined = crowded.selectExpr("key", "node", "node div 60 as root")
+    found = {(r.lower, r.upper) for r in minmax._links_in_crowds(joined, table, type(work)(spark, work.path("joined"))).collect()}
+    roots = {(i // 60, j // 60) for i, j in similar if i // 60 != j // 60}
+    assert found <= set(similar) and {(i // 60, j // 60) for i, j in found} == roots and len(found) < len(similar)
 
 
 def test_messy_table(spark, messy, nothing, work):
@@ -127,4 +132,4 @@ def test_a_group_of_copies_is_one_node(spark, work):
     rows = [(i, base) for i in range(3000)] + [(5000 + i, base + f" v{i}") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r.component_id, r.n) for r in minmax.near_duplicates(docs, work).groupBy("component_id").count().withColumnRenamed("count", "n").collect()} == {(0, 3040)}
-    assert spark.read.parquet(work.path("members")).select("node").distinct().count() == 41
+    assert spark.read.parquet(work.path("nodes")).count() == 41
