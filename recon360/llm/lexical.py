@@ -110,16 +110,31 @@ class _Block:
         yield pa.RecordBatch.from_pylist([{"shard": shard, "block": block, "m": self.m, "docs": self.docs}], schema=_POSTINGS)
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of the task have each number of terms."""
+    found: Counter[int] = Counter()
+    for batch in text_slices(batches):
+        found.update(len((t or "").encode().translate(_TERMS).split()) for t in batch.column(0).to_pylist())
+    yield pa.RecordBatch.from_pydict({"n": pa.array(found.keys(), pa.int64()), "docs": pa.array(found.values(), pa.int64())})
+
+
+def _with_length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_slices(batches):
+        n = [len((t or "").encode().translate(_TERMS).split()) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], ["doc_id", "text", "n"])
+
+
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (m, doc_id, text) in the order of m to index rows."""
+    """Rows (m, slot, doc_id, text) in this order to index rows."""
     shard, number = TaskContext.get().partitionId(), 0
     block: _Block | None = None
+    at = None
     for batch in text_slices(batches):
-        for m, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if block is not None and (block.m != m or block.full()):
+        for m, slot, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if block is not None and ((m, slot) != at or block.full()):
                 yield from block.rows(shard, number)
                 block, number = None, number + 1
-            block = block or _Block(m)
+            block, at = block or _Block(m), (m, slot)
             block.add(doc_id, term_counts(text))
     if block is not None:
         yield from block.rows(shard, number)
@@ -143,20 +158,26 @@ class Index:
 def build(docs: DataFrame, path: str) -> Index:
     """Index every document that has a term.
 
-    Documents are dealt out by ranges of (m, doc_id, row), so a stratum that holds most documents, or one
-    doc_id on very many rows, is spread over tasks like anything else.
+    The lengths of all documents give the sizes of the strata, and a stratum is dealt out by row to as
+    many slots as hold a block each; so a stratum that holds most documents, or one doc_id on very many
+    rows, is spread over tasks like anything else. Texts cross the network once.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    counted = pick(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("bigint"), text.alias("text"), F.regexp_count(text, F.lit(TERM)).cast("bigint").alias("_n")
-    )
-    sizes = counted.where("_n > 0").agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_terms"))
-    sizes.write.mode("errorifexists").parquet(f"{path}/size")
+    texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    lengths = texts.select("text").mapInArrow(_lengths, "n long, docs long").where("n > 0")
+    lengths.groupBy("n").agg(F.sum("docs").alias("docs")).write.mode("errorifexists").parquet(f"{path}/lengths")
+    lengths = spark.read.parquet(f"{path}/lengths")
+    sizes = lengths.agg(F.sum("docs").alias("n_docs"), F.sum(F.col("docs") * F.col("n")).alias("n_terms"))
+    sizes.na.fill(0).write.mode("errorifexists").parquet(f"{path}/size")
     size = spark.read.parquet(f"{path}/size").first()
-    m = normaliser("_n", size["n_docs"], size["n_terms"])
-    with_m = counted.where("_n > 0").select(m.alias("m"), "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
-    ordered = with_m.repartitionByRange("m", "doc_id", "_row").sortWithinPartitions("m", "doc_id", "_row").drop("_row")
+    m = normaliser("n", size["n_docs"], size["n_terms"]).alias("m")
+    strata = lengths.select(m, "docs").groupBy("m").agg(F.ceil(F.sum("docs") / BLOCK_DOCS).cast("int").alias("slots"))
+    counted = texts.mapInArrow(_with_length, "doc_id long, text string, n long").where("n > 0")
+    row = F.xxhash64(F.monotonically_increasing_id())
+    # One row for each different m, of which there are fewer than lengths.
+    dealt = counted.select(m, "doc_id", "text", row.alias("_row")).join(F.broadcast(strata), "m")
+    dealt = dealt.withColumn("slot", F.pmod("_row", "slots").cast("int")).select("m", "slot", "doc_id", "text")
+    ordered = dealt.repartition("m", "slot").sortWithinPartitions("m", "slot", "doc_id")
     ordered.mapInArrow(_index_rows, _POSTINGS_SQL).write.mode("errorifexists").parquet(f"{path}/postings")
     return Index(spark, path)
 
