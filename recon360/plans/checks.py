@@ -57,9 +57,12 @@ def _count(name: str, df: DataFrame) -> DataFrame:
     return _measure(df, **{name: F.count(F.lit(1))})
 
 
-def _reported(name: str, exceptions: DataFrame, rule_id: str) -> DataFrame:
-    """How many records a rule reported, each counted once."""
-    return _count(name, exceptions.where(F.col("rule_id") == rule_id).select("record_key").distinct())
+def _reported(exceptions: DataFrame, **names: str) -> DataFrame:
+    """How many records each of the rules reported, each counted once; ``names`` gives the measure of a rule."""
+    rule = F.col("rule_id")
+    name = reduce(lambda c, r: c.when(rule == r, names[r]), names, F).alias("name")
+    records = exceptions.where(rule.isin(*names)).select("rule_id", "record_key").distinct()
+    return records.groupBy(name).agg(F.count(F.lit(1)).cast("double").alias("value"))
 
 
 def row_accounting(t: Customer360, exceptions: DataFrame) -> DataFrame:
@@ -106,9 +109,8 @@ def referential(t: Customer360, exceptions: DataFrame) -> DataFrame:
         measures += [
             _count(f"{name}_dangling__observed", dangling(fact.select(key), key, parent.select(parent_key), parent_key)),
             _measure(fact, **{f"{name}_unresolved__observed": _where(F.col(key).isNull())}),
-            _reported(f"{name}_unresolved__expected", exceptions, rule),
         ]
-    return _checks(*measures)
+    return _checks(*measures, _reported(exceptions, **{rule: f"{name}_unresolved__expected" for name, *_, rule in links}))
 
 
 def amounts(t: Customer360, exceptions: DataFrame) -> DataFrame:
@@ -127,9 +129,12 @@ def amounts(t: Customer360, exceptions: DataFrame) -> DataFrame:
             active_price_not_positive__observed=_where("active_flag = 1 and (unit_price is null or unit_price <= 0)"),
         ),
         _count("settled_mismatch__observed", mismatched),
-        _reported("non_positive_quantity__expected", exceptions, "DQ007"),
-        _reported("total_mismatch__expected", exceptions, "DQ008"),
-        _reported("settled_mismatch__expected", exceptions, "DQ010"),
+        _reported(
+            exceptions,
+            DQ007="non_positive_quantity__expected",
+            DQ008="total_mismatch__expected",
+            DQ010="settled_mismatch__expected",
+        ),
         above=("completed_revenue_positive",),
     )
 
@@ -144,7 +149,7 @@ def parsing(t: Customer360, exceptions: DataFrame) -> DataFrame:
         *measures,
         _measure(t.fact_order, order_date_missing__observed=_where("order_date is null")),
         _measure(t.fact_customer_issue, ticket_date_missing__observed=_where("created_date is null")),
-        _reported("ticket_date_missing__expected", exceptions, "DQ011"),
+        _reported(exceptions, DQ011="ticket_date_missing__expected"),
         _measure(t.staging.support_tickets, ticket_date_missing__expected=_where(blank)),
         _measure(t.dim_product, unit_price_missing__observed=_where("unit_price is null")),
         _measure(

@@ -96,7 +96,7 @@ def run(
     tables["dq_exception_report"] = found
     tables["dq_summary"] = store("dq_summary", rules.summary(found, catalog))
     tables["dq_totals"] = store("dq_totals", rules.totals(found, catalog))
-    tables["dq_detail"] = store("dq_detail", sinks.sorted_by(rules.detail(found, catalog), "place", "record_key").drop("place"))
+    tables["dq_detail"] = store("dq_detail", sinks.sorted_by(rules.detail(found, catalog, work), "place", "record_key").drop("place"))
 
     questions = files.load_questions(spark, metadata(QUESTIONS_FILE))
     states = write_answers(t, questions, output_dir)

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recon360.functions import parsing, text
-from recon360.model import CURATED_COLUMNS, DEFAULT_RULES, EXCEPTION_COLUMNS, SEQ, STAGING_COLUMNS
+from recon360.model import CURATED_COLUMNS, DEFAULT_RULES, EXCEPTION_COLUMNS, SEQ, STAGING_COLUMNS, Rule
 from recon360.operators import dedup, entity, references
 from recon360.plans import answers, checks, conform, rules
 from recon360.plans.conform import Customer360
 from recon360.session import prepare, scratch_root
 from recon360.sources import files, sinks
 from recon360.sources.bound import BoundStaging
-from recon360.sources.store import TableStore
+from recon360.sources.store import TableStore, constant_rows
 
 
 class Run(Customer360):
@@ -85,6 +86,29 @@ def scan_jsonl_text(run: Run) -> DataFrame:
     return files.scan_jsonl(run.spark, path)
 
 
+def scan_csv_lines(run: Run) -> DataFrame:
+    """Tickets written as CSV with a field over several lines and scanned back."""
+    path = run.files.fresh("tickets_csv")
+    note = F.concat_ws("\n", F.concat(F.lit('said "'), "sentiment", F.lit('",')), F.lit(""), "description")
+    sinks.write_csv(run.staging.support_tickets.select("ticket_id", "channel", note.alias("note"), "category"), path)
+    return files.scan_csv(run.spark, path)
+
+
+def dq_catalog_file(run: Run) -> DataFrame:
+    """Findings by a catalog file of other order, severity and advice, without one rule and with an unknown one."""
+    path = run.files.fresh("catalog_csv")
+    listed = [replace(r, severity=f"S{i % 3}", suggested_action=f"ask {r.dataset}") for i, r in enumerate(DEFAULT_RULES)]
+    listed = [Rule("DQ900", "orders", "not built, yet", "S9", ""), *reversed(listed[1:])]
+    rows = constant_rows(run.spark, [{"place": i, **asdict(r)} for i, r in enumerate(listed)])
+    sinks.write_csv(rows.coalesce(1).sortWithinPartitions("place").drop("place"), path)
+    catalog = files.load_rules(run.spark, path)
+    found = run.files("dq_exceptions_by_file", rules.exceptions(run, catalog))
+    rows = rules.detail(found, catalog, run.work)
+    return rows.groupBy("place", "rule_id", "dataset", "severity", "suggested_action", "status").agg(
+        F.count("record_key").alias("n_records"), F.min("record_key").alias("first_record")
+    )
+
+
 def dq_exceptions_export(run: Run) -> DataFrame:
     """The exported CSV, read back."""
     path = run.files.fresh("exceptions_csv")
@@ -308,7 +332,11 @@ QUERIES: dict[str, Query] = {
     "dq_exceptions_export": dq_exceptions_export,
     "dq_summary": lambda run: rules.summary(run.exceptions, DEFAULT_RULES),
     "dq_totals": lambda run: rules.totals(run.exceptions, DEFAULT_RULES),
-    "dq_detail": lambda run: sinks.sorted_by(rules.detail(run.exceptions, DEFAULT_RULES), "place", "record_key").drop("place"),
+    "dq_detail": lambda run: sinks.sorted_by(
+        rules.detail(run.exceptions, DEFAULT_RULES, run.work), "place", "record_key"
+    ).drop("place"),
+    "dq_catalog_file": dq_catalog_file,
+    "scan_csv_lines": scan_csv_lines,
     **answers.ANSWERS,
     "check_row_accounting": lambda run: checks.row_accounting(run, run.exceptions),
     "check_referential": lambda run: checks.referential(run, run.exceptions),

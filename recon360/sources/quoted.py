@@ -12,10 +12,12 @@ with one. A quote further on in a plain field is text and changes nothing.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ _STAYS = rf'\A{_REST}(?:\z|"[^,]*+,(?:{_FIELD},)*+"{_REST}\z)'
 
 WHOLE, BEGINS, GOES_ON = 0, 1, 2
 
+# Workers get the functions themselves, so they need not find this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines as they are between line feeds, with their place and what they do to the state."""

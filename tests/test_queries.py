@@ -1,12 +1,16 @@
 """Every registered query against its SQL on the smallest data set, and the shape of its plan."""
 
+import re
 from collections import Counter
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as driver
+from recon360.model import DEFAULT_RULES, EXCEPTION_COLUMNS
+from recon360.plans import rules
 from recon360.plans.queries import QUERIES as PLAIN
+from recon360.plans.queries import open_run
 from recon360.session import drop_scratch
 
 duckdb = pytest.importorskip("duckdb")
@@ -43,7 +47,25 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want and got
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "Python" not in plan
+    assert "Python" not in plan and ("Arrow" not in plan or name == "scan_csv_lines")
+
+
+def test_rules_scan_each_table_once(spark):
+    run = open_run(spark, DATA)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = rules.exceptions(run, DEFAULT_RULES)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for table in ("fact_order", "dim_customer", "dim_product", "order_payments", "trace_orders", "trace_tickets"):
+        assert len(re.findall(rf"/{table}\]", plan)) == 1, table
+
+
+def test_a_rule_alone_is_its_share_of_all(spark):
+    run = open_run(spark, DATA)
+    whole = Counter(map(tuple, run.exceptions.select(EXCEPTION_COLUMNS).collect()))
+    parts = Counter(tuple(r) for rule in DEFAULT_RULES for r in rules.run_rule(run, rule).collect())
+    assert whole == parts and whole
 
 
 def test_entry(spark):
