@@ -5,12 +5,16 @@ side ends at the same byte, a group ends; an A and a B token that overlap are a
 A token and the B token of the same bytes: an array as long as A's vocabulary names that B id, and such
 groups are counted in a vector of the same length, one for each task. The links of all other groups are
 counted per pair of ids by a shuffle, and only they meet the corpus-wide counts through a shuffle again.
+
+B's pieces never reach over a place before white space that follows something else, so a text is encoded
+in segments that begin there, and a task remembers the ids of segments it has met.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -28,6 +32,11 @@ from recon360.sources.store import TableStore
 # Ids of a pair are packed into one long: A's id above B's.
 _B_BITS = 24
 _META_SPACE = "▁"
+# Segments begin where a space or a line end follows something else.
+SEGMENT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+# Segments a task remembers, and the longest of them.
+REMEMBERED = 500_000
+REMEMBERED_LENGTH = 64
 
 _ALIGNED = pa.schema(
     [
@@ -42,20 +51,59 @@ _ALIGNED_SQL = (
 )
 
 
+class _Known(dict):
+    """B ids of segments, worked out when first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes | None], older: dict | None = None):
+        self.find, self.older = find, older or {}
+
+    def __missing__(self, segment: str) -> bytes | None:
+        found = self.older[segment] if segment in self.older else self.find(segment)
+        if len(segment) <= REMEMBERED_LENGTH:
+            self[segment] = found
+        return found
+
+    def aged(self) -> _Known:
+        """This, or when it is full an empty one that can still look things up here."""
+        if len(self) <= REMEMBERED // 2:
+            return self
+        self.older = {}
+        return _Known(self.find, self)
+
+
 class Pieces:
-    """A sentencepiece model, and the bytes of its ids."""
+    """A sentencepiece model, the bytes of its ids, and the ids of segments met before."""
 
     def __init__(self, data: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.token_bytes = [self._bytes(i) for i in range(self.model.get_piece_size())]
         self.token_lengths = np.array([len(t) for t in self.token_bytes], np.int64)
+        # Tokens never reach over the start of a segment if no piece has such a place.
+        pieces = [self.model.id_to_piece(i) for i in range(len(self.token_bytes)) if not self.model.is_byte(i)]
+        self.separable = not any(re.search(rf"[^{_META_SPACE}]{_META_SPACE}", p) or "\n" in p[1:] for p in pieces)
+        self.prefix = self.model.piece_to_id(_META_SPACE)
+        self.known = _Known(self._segment)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(_META_SPACE, " ").encode()
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, num_threads=1), np.int64)
+    def spelling(self, text: str) -> np.ndarray | None:
+        """Ids of a text that begins with the space which the model adds; None if they do not spell it."""
+        parts = [self.known[s] for s in (SEGMENT.findall(text) if self.separable else [text])]
+        return None if None in parts else np.frombuffer(b"".join(parts), "<i4").astype(np.int64)
+
+    def _segment(self, text: str) -> bytes | None:
+        if text == " ":  # the model adds none to an empty text
+            ids = [self.prefix]
+        elif text[0] == " ":
+            ids = self.model.encode(text[1:], num_threads=1)
+        else:  # a line end has no space before it: the one the model adds is a token alone
+            first, *ids = self.model.encode(text, num_threads=1)
+            if first != self.prefix:
+                return None
+        spelled = b"".join(map(self.token_bytes.__getitem__, ids)) == text.encode()
+        return np.array(ids, "<i4").tobytes() if spelled else None
 
 
 def identity_map(a: list[bytes], b: Pieces) -> np.ndarray:
@@ -81,15 +129,17 @@ class Aligner:
         """Ids of both sides, None if they do not spell a space and the text."""
         if not text:
             return None
-        spelled = (" " + text).encode()
-        a, b = self.a.encode(" " + text).astype(np.int64), self.b.encode(text)
-        for ids, side in ((a, self.a), (b, self.b)):
-            if b"".join(map(side.token_bytes.__getitem__, ids.tolist())) != spelled:
-                return None
-        return a, b
+        b = self.b.spelling(" " + text)
+        if b is None:
+            return None
+        a = self.a.encode(" " + text).astype(np.int64)
+        spelled = b"".join(map(self.a.token_bytes.__getitem__, a.tolist())) == (" " + text).encode()
+        return (a, b) if spelled else None
 
-    def align(self, a: np.ndarray, b: np.ndarray) -> Alignment:
-        return Alignment(self, a, b)
+    def rest(self) -> None:
+        """Forget what has not been met for long."""
+        self.a.rest()
+        self.b.known = self.b.known.aged()
 
 
 def _texts(n: int, marks: str) -> list[np.ndarray]:
@@ -103,25 +153,32 @@ class Alignment:
     def __init__(self, with_: Aligner, a: np.ndarray, b: np.ndarray):
         self.a, self.b, self.of = a, b, with_
         a_ends, b_ends = np.cumsum(with_.a.token_lengths[a]), np.cumsum(with_.b.token_lengths[b])
-        self.cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        self.a_group, self.b_group = np.searchsorted(self.cuts, a_ends), np.searchsorted(self.cuts, b_ends)
+        marks = np.zeros(int(a_ends[-1]) + 1, np.uint8)
+        marks[a_ends] = 1
+        marks[b_ends] += 2
         # Between two ends next to each other lie one token of A and one of B, and no other such place
         # has the same two: each is a link.
-        ends = np.union1d(a_ends, b_ends)
-        self.link_a, self.link_b = a[np.searchsorted(a_ends, ends)], b[np.searchsorted(b_ends, ends)]
-        n = len(self.cuts)
-        single = (np.bincount(self.a_group, minlength=n) == 1) & (np.bincount(self.b_group, minlength=n) == 1)
-        regular = single[np.searchsorted(self.cuts, ends)] & (with_.same[self.link_a] == self.link_b)
+        kinds = marks[np.flatnonzero(marks)].astype(np.int64)
+        a_after, b_after = np.cumsum(kinds & 1), np.cumsum(kinds >> 1)
+        self.link_a, self.link_b = a[a_after - (kinds & 1)], b[b_after - (kinds >> 1)]
+        both = kinds == 3
+        # tokens of either side up to the end of each group
+        self.a_cuts, self.b_cuts = a_after[both], b_after[both]
+        self.a_sizes, self.b_sizes = np.diff(self.a_cuts, prepend=0), np.diff(self.b_cuts, prepend=0)
+        regular = both & (with_.same[self.link_a] == self.link_b)
+        regular[both] &= (self.a_sizes == 1) & (self.b_sizes == 1)
         self.same = self.link_a[regular]
-        self.pairs, self.pairs_n = np.unique((self.link_a[~regular] << _B_BITS) | self.link_b[~regular], return_counts=True)
+        self.pairs = (self.link_a[~regular] << _B_BITS) | self.link_b[~regular]
 
     def text(self) -> str:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-        a_last, b_last = np.diff(self.a_group, append=-1) != 0, np.diff(self.b_group, append=-1) != 0
-        a = np.where(a_last, self.of.a_texts[1][self.a], self.of.a_texts[0][self.a])
-        b = np.where(b_last, self.of.b_texts[1][self.b], self.of.b_texts[0][self.b])
-        order = np.argsort(np.concatenate((2 * self.a_group, 2 * self.b_group + 1)), kind="stable")
-        return "".join(np.concatenate((a, b))[order].tolist())[:-1]
+        out = np.empty(len(self.a) + len(self.b), object)
+        a_at = np.arange(len(self.a)) + np.repeat(self.b_cuts - self.b_sizes, self.a_sizes)
+        b_at = np.arange(len(self.b)) + np.repeat(self.a_cuts, self.b_sizes)
+        out[a_at], out[b_at] = self.of.a_texts[0][self.a], self.of.b_texts[0][self.b]
+        a_last, b_last = self.a_cuts - 1, self.b_cuts - 1
+        out[a_at[a_last]], out[b_at[b_last]] = self.of.a_texts[1][self.a[a_last]], self.of.b_texts[1][self.b[b_last]]
+        return "".join(out.tolist())[:-1]
 
 
 class Tokenizers:
@@ -166,15 +223,15 @@ def _aligned(batches: Iterator[pa.RecordBatch], tokenizers: Tokenizers) -> Itera
                 facts.append((0, 0, 0, 0, ""))
                 ids = ids_n = codes = codes_n = none
             else:
-                of = aligner.align(*found)
+                of = Alignment(aligner, *found)
                 digest = hashlib.sha256(of.text().encode()).hexdigest()
-                facts.append((len(of.a), len(of.b), len(of.cuts), len(of.link_a), digest))
+                facts.append((len(of.a), len(of.b), len(of.a_cuts), len(of.link_a), digest))
                 ids, ids_n = np.unique(of.same, return_counts=True)
                 total[ids] += ids_n
-                codes, codes_n = of.pairs, of.pairs_n
+                codes, codes_n = np.unique(of.pairs, return_counts=True)
             for kept, new in ((same, ids), (same_n, ids_n), (pairs, codes), (pairs_n, codes_n)):
                 kept.append(new)
-        aligner.a.rest()
+        aligner.rest()
         n = batch.num_rows
         columns = [pa.array(c, t.type) for c, t in zip(zip(*facts, strict=True), list(_ALIGNED)[2:7], strict=True)]
         lists = [_lists(same, pa.int32()), *(_lists(x, pa.int64()) for x in (same_n, pairs, pairs_n))]

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -114,6 +115,23 @@ def test_only_irregular_groups_enter_the_shuffle(spark, work):
     assert [(r.n_groups, r.n_links, r.n_best, r.count_sum) for r in rows] == [(5, 5, 5, 10)] * 2
 
 
+def test_segments_give_the_tokens_of_whole_texts(plain):
+    codec = token_align.Codec("byte_bpe_50k.json", open(A, "rb").read())
+    aligner = token_align.Aligner(codec, token_align.Pieces(open(B, "rb").read()))
+    assert aligner.b.separable
+    rng = random.Random(2)
+    alphabet = [" ", "  ", "\n", "\t", "\r\n", "\x85", "\xa0", "\u3000", "\u200b", "\x1c", "\x0b", "the", "The", "ing", "a", "'s", "'", "1", "99", ".", ",", "\u00e9", "\u7684", "\u2581", "<s>", "_"]
+    spelled = 0
+    for _ in range(6000):
+        text = "".join(rng.choices(alphabet, k=rng.randint(1, 9)))
+        found, expected = aligner.tokens(text), brute_tokens(text, plain)
+        assert (found is None) == (expected is None), repr(text)
+        if found:
+            spelled += 1
+            assert [x.tolist() for x in found] == [[i for i, _ in side] for side in expected], repr(text)
+    assert 2000 < spelled < 6000
+
+
 def test_identity_map():
     class Model:
         is_byte = staticmethod(lambda i: i == 0)
