@@ -148,7 +148,8 @@ def tickets_vs_exceptions(t: Customer360) -> DataFrame:
 
 
 # in the order of the question catalog
-ANSWERS: dict[str, Callable[[Customer360], DataFrame]] = {
+Answer = Callable[[Customer360], DataFrame]
+ANSWERS: dict[str, Answer] = {
     "bq1_revenue_by_month": revenue_by_month,
     "bq2_top_customers": top_customers,
     "bq3_problem_orders": problem_orders,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from recon360.functions import parsing, text
 from recon360.model import AMOUNT, DERIVED_AMOUNT, Staging, curated_schema
 from recon360.operators import dedup, entity, references
+from recon360.sources import mapping
 
 Store = Callable[[str, DataFrame], DataFrame]
 
@@ -128,12 +129,14 @@ class Customer360:
         match_on: Mapping[str, str] = entity.MATCH_ON,
         schemas: Mapping[str, T.StructType] | None = None,
         work: Store | None = None,
+        mapped: Mapping[str, list[mapping.MappedColumn]] | None = None,
     ):
         self.staging = staging
         self.store = store
         self.work = work or store
         self.match_on = match_on
         self.schemas = schemas or curated_schema()
+        self.mapped = mapped or {}
 
     def _curated(self, name: str, df: DataFrame) -> DataFrame:
         return self.store(name, fit(df, self.schemas[name]))
@@ -159,7 +162,10 @@ class Customer360:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return self._curated("dim_product", dim_product(self.staging.products))
+        """By the mapping alone where it names the source of every column."""
+        columns = mapping.direct(self.mapped, "dim_product")
+        products = self.staging.products
+        return self._curated("dim_product", mapping.project(products, columns) if columns else dim_product(products))
 
     @cached_property
     def fact_order(self) -> DataFrame:

@@ -14,7 +14,7 @@ from recon360.operators import entity
 from recon360.plans import answers, checks, rules
 from recon360.plans.conform import Customer360, fit
 from recon360.session import prepare, scratch_root
-from recon360.sources import files, sinks
+from recon360.sources import files, mapping, sinks
 from recon360.sources.store import TableStore, constant_rows
 
 log = logging.getLogger(__name__)
@@ -50,13 +50,15 @@ def load_staging(spark: SparkSession, input_dir: str, store: TableStore) -> Stag
     return Staging(**tables)
 
 
-def write_answers(t: Customer360, questions: list[str], output_dir: str) -> dict[str, str]:
+def write_answers(
+    t: Customer360, questions: list[str], output_dir: str, known: Mapping[str, answers.Answer] = answers.ANSWERS
+) -> dict[str, str]:
     """One CSV per question, NULL written as such; a failing question does not stop the others.
 
     Returns the state of each answer: ``ok``, ``no results`` or the error.
     """
     states = {}
-    for question, (name, answer) in zip(questions, answers.ANSWERS.items()):
+    for question, (name, answer) in zip(questions, known.items()):
         try:
             path = f"{output_dir}/answers/{name}"
             rows = answer(t)
@@ -68,6 +70,18 @@ def write_answers(t: Customer360, questions: list[str], output_dir: str) -> dict
     return states
 
 
+def answer_states(
+    spark: SparkSession, questions: list[str], states: Mapping[str, str], known: Mapping[str, answers.Answer] = answers.ANSWERS
+) -> DataFrame:
+    """One row per question in its place; one without an answer of its own is ``unanswered``."""
+    rows = [
+        {"position": i, "answer": name, "question": question, "state": states.get(name, "unanswered")}
+        for i, (question, name) in enumerate(zip_longest(questions, known, fillvalue=""), start=1)
+        if question
+    ]
+    return constant_rows(spark, rows)
+
+
 def run(
     spark: SparkSession, input_dir: str, output_dir: str, match_on: Mapping[str, str] = entity.MATCH_ON
 ) -> dict[str, DataFrame]:
@@ -79,10 +93,11 @@ def run(
         path = f"{input_dir}/{file}"
         return path if exists(spark, path) else None
 
-    mapping = metadata(MAPPING_FILE)
-    columns = files.load_mapping(spark, mapping) if mapping else CURATED_COLUMNS
+    mapping_file = metadata(MAPPING_FILE)
+    columns = files.load_mapping(spark, mapping_file) if mapping_file else CURATED_COLUMNS
+    mapped = mapping.load(spark, mapping_file) if mapping_file else {}
     work = TableStore(spark, f"{scratch_root(spark)}/job-{uuid.uuid4().hex}")
-    t = Customer360(load_staging(spark, input_dir, store), store, match_on, curated_schema(columns), work)
+    t = Customer360(load_staging(spark, input_dir, store), store, match_on, curated_schema(columns), work, mapped)
 
     tables = {"id_crosswalk": store("id_crosswalk", t.id_crosswalk), **t.curated()}
     checks.require_unique_keys(t)
@@ -102,16 +117,6 @@ def run(
     states = write_answers(t, questions, output_dir)
     if len(questions) != len(answers.ANSWERS):
         log.warning("%d questions for %d answers", len(questions), len(answers.ANSWERS))
-    tables["answers"] = store(
-        "answer_states",
-        constant_rows(
-            spark,
-            [
-                {"position": i, "answer": name, "question": question, "state": states.get(name, "unanswered")}
-                for i, (question, name) in enumerate(zip_longest(questions, answers.ANSWERS, fillvalue=""), start=1)
-                if question
-            ],
-        ),
-    )
+    tables["answers"] = store("answer_states", answer_states(spark, questions, states))
     tables["checks"] = store("checks", checks.all_checks(t, found).orderBy("check_name"))
     return tables

@@ -12,19 +12,26 @@ from pyspark.sql import types as T
 from recon360.functions import parsing, text
 from recon360.model import CURATED_COLUMNS, DEFAULT_RULES, EXCEPTION_COLUMNS, SEQ, STAGING_COLUMNS, Rule
 from recon360.operators import dedup, entity, references
-from recon360.plans import answers, checks, conform, rules
+from recon360.operators import survivors as survivor_rules
+from recon360.plans import answers, checks, conform, job, rules
 from recon360.plans.conform import Customer360
+from recon360.plans.history import History, trend
 from recon360.session import prepare, scratch_root
-from recon360.sources import files, sinks
+from recon360.sources import files, mapping, sinks
 from recon360.sources.bound import BoundStaging
 from recon360.sources.store import TableStore, constant_rows
+from recon360.streaming.clusters import Clusters
+from recon360.streaming.orders import OrderFacts
+from recon360.streaming.unique import keep_unique, late_rows, read_unique
+
+STREAM_PARTITIONS = 8
 
 
 class Run(Customer360):
     """The tables of one folder, plus the exception table and text copies of two sources."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, number: int):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.files = TableStore(spark, f"{scratch_root(spark)}/run_{number}")
         super().__init__(BoundStaging(spark, sf_dir, self.files), self.files)
         self._exceptions: DataFrame | None = None
@@ -290,6 +297,108 @@ def trace_to_raw(run: Run) -> DataFrame:
     return run.order_trace.select("order_key", "customer_id", "product_id")
 
 
+# --- batches, survivors, runs and metadata
+
+
+def fact_order_batches(run: Run) -> DataFrame:
+    """Orders taken in by three loads with a high-water mark; ids that repeat come in different loads."""
+    facts = OrderFacts(run.spark, run.files.fresh("order_batches"), mark="load", buckets=16)
+    loads = run.staging.orders.withColumn("load", F.col(f"{SEQ}.l_suppkey") % 3)
+    for last in (0, 1, 2):
+        facts.add(loads.where(F.col("load") <= last), run.clusters, run.dim_product)
+    return facts.read()
+
+
+def entity_clusters_batches(run: Run) -> DataFrame:
+    """Customers taken in by three batches."""
+    state = Clusters(run.spark, run.files.fresh("cluster_batches"), buckets=16)
+    part = F.pmod(F.xxhash64("customer_id"), F.lit(3))
+    for i in range(3):
+        state.add(run.customers.where(part == i), run.files)
+    return state.clusters()
+
+
+def events_unique(run: Run) -> DataFrame:
+    """Events from files that repeat some and bring some too late, read as a stream in two runs.
+
+    The first file has the earlier events, the second the later ones and half of the earlier ones again;
+    of every 97th event the only row comes in the third file, when the watermark is long past.
+    """
+    path = run.files.fresh("events_stream")
+    events = run.spark.read.parquet(f"{run.sf_dir}/events.parquet")
+    events = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    at = F.unix_micros("ts")
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    early = 2 * at < low + high
+    late = early & (F.col("event_id") % 97 == 0)
+    again = early & ~late & (F.col("event_id") % 2 == 0)
+    parts = [events.where(early & ~late), events.where(~early).unionByName(events.where(again)), events.where(late)]
+    delay = f"{(high - low) // 4_000_000 + 1} seconds"
+    before = run.spark.conf.get("spark.sql.shuffle.partitions")
+    run.spark.conf.set("spark.sql.shuffle.partitions", STREAM_PARTITIONS)  # fixed for good when a stream first starts
+    try:
+        for i, part in enumerate(parts):
+            part.coalesce(1).write.mode("overwrite").parquet(f"{path}/source/part={i}")
+            keep_unique(run.spark, events.schema, f"{path}/source/part=*", f"{path}/unique", f"{path}/checkpoint", "event_id", "ts", delay)
+    finally:
+        run.spark.conf.set("spark.sql.shuffle.partitions", before)
+    unique = read_unique(run.spark, events.schema, f"{path}/unique").withColumn("state", F.lit("kept"))
+    missed = late_rows(run.spark, events.schema, f"{path}/source/part=*", f"{path}/unique", "event_id").withColumn("state", F.lit("late"))
+    return unique.select("event_id", "user_id", "event_type", "state").unionByName(missed.select("event_id", "user_id", "event_type", "state"))
+
+
+def survivors(run: Run, strategy: str) -> DataFrame:
+    elected = run.files(f"elected_{strategy}", survivor_rules.elect(run.customers, run.id_crosswalk, survivor_rules.STRATEGIES[strategy]))
+    return survivor_rules.surviving_customers(run.customers, run.id_crosswalk, elected)
+
+
+def survivor_crosswalk(run: Run) -> DataFrame:
+    elected = run.files("elected", survivor_rules.elect(run.customers, run.id_crosswalk, survivor_rules.STRATEGIES["latest_signup"]))
+    return survivor_rules.rerooted(run.id_crosswalk, elected)
+
+
+def dq_trend(run: Run) -> DataFrame:
+    """Three runs over a growing share of the findings; the second is repeated after a wrong first try."""
+    history = History(run.spark, run.files.fresh("dq_history"))
+    digit = F.substring("record_key", -1, 1)
+    for number, digits in ((1, "012"), (2, "0123456789"), (2, "0124"), (3, "0123456789")):
+        history.record(number, rules.summary(run.exceptions.where(digit.isin(list(digits))), DEFAULT_RULES))
+    return trend(history.read())
+
+
+def dim_product_mapped(run: Run) -> DataFrame:
+    """Products by a mapping file alone, with a column the built-in table does not have."""
+    path = run.files.fresh("mapping_csv")
+    listed = [
+        ("product_key", "product_id", ""), ("product_name", "product_name", ""), ("kind_of_product", "category", "text"),
+        ("unit_price", "unit_price", ""), ("price_as_stated", "unit_price", "text"), ("active_flag", "active_flag", ""),
+        ("label", "category,product_name", "name"),
+    ]
+    rows = [
+        {"target_table": "dim_product", "target_column": t, "source_column": s, "kind": k, "place": i} for i, (t, s, k) in enumerate(listed)
+    ]
+    table = constant_rows(run.spark, rows).coalesce(1).sortWithinPartitions("place").drop("place")
+    sinks.write_csv(table, path)
+    return mapping.project(run.staging.products, mapping.load(run.spark, path)["dim_product"])
+
+
+def answer_states(run: Run) -> DataFrame:
+    """Questions of a file with their answers' states: one answer has no rows, one fails, one question has none."""
+    path = run.files.fresh("questions_csv")
+    asked = ["What is revenue, by month?", "Which states?", "Which month in the year 1?", "Which one fails?", "Who knows?"]
+    sinks.write_csv(constant_rows(run.spark, [{"place": i, "Questions": q} for i, q in enumerate(asked)]).coalesce(1).drop("place"), path)
+
+    def fails(t: Customer360) -> DataFrame:
+        raise ValueError("no such table")
+
+    known = {
+        "bq1": answers.revenue_by_month, "bq4": answers.revenue_by_state,
+        "empty": lambda t: answers.revenue_by_month(t).where("month < '0002'"), "fails": fails,
+    }
+    questions = files.load_questions(run.spark, path)
+    return job.answer_states(run.spark, questions, job.write_answers(run, questions, run.files.fresh("answers"), known), known)
+
+
 Query = Callable[[Run], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -322,6 +431,15 @@ QUERIES: dict[str, Query] = {
     "order_amounts": order_amounts,
     "orders_with_payments": orders_with_payments,
     "trace_to_raw": trace_to_raw,
+    "fact_order_batches": fact_order_batches,
+    "entity_clusters_batches": entity_clusters_batches,
+    "events_unique": events_unique,
+    "survivors_most_complete": lambda run: survivors(run, "most_complete"),
+    "survivors_latest_signup": lambda run: survivors(run, "latest_signup"),
+    "survivor_crosswalk": survivor_crosswalk,
+    "dq_trend": dq_trend,
+    "dim_product_mapped": dim_product_mapped,
+    "answer_states": answer_states,
     "dim_customer": lambda run: run.dim_customer,
     "dim_product": lambda run: run.dim_product,
     "fact_order": lambda run: run.fact_order,
