@@ -40,7 +40,7 @@ PERMUTATIONS = ROWS * BANDS // 2
 AGREEING_BITS = 197
 SKETCH = ["s0", "s1", "s2", "s3"]
 # A band key of more nodes than these that links leave apart is compared in blocks, not by pairs.
-MANY = 64
+MANY = 16
 # About so many nodes and shingles are in a block.
 BLOCK_NODES = 256
 BLOCK_SHINGLES = 1 << 19

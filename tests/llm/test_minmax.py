@@ -100,7 +100,7 @@ def test_components_match_all_pairs(spark, work, monkeypatch):
     expected = brute_force(rows)
     assert 12 < len({c for _, _, c, _ in expected}) < len(rows) - 100
     monkeypatch.setattr(minmax, "BLOCK_NODES", 7)
-    for many in (64, 4, 0):  # by pairs, in blocks where more are left, and in blocks alone
+    for many in (16, 4, 0):  # by pairs, in blocks where more are left, and in blocks alone
         monkeypatch.setattr(minmax, "MANY", many)
         assert got(minmax.near_duplicates(docs, type(work)(spark, work.path(f"many{many}")))) == expected
 
