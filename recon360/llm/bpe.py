@@ -47,6 +47,7 @@ PIECES = re.compile(
 _SPACES_MEET = re.compile(rf" [{_SPACES}]|[{_SPACES}] ")
 _ASCII_SPACES_MEET = tuple(pair for c in " \t\n\x0b\x0c\r" for pair in {" " + c, c + " "})
 _WORD = re.compile(rf" ?[{_LETTERS}]+\Z")
+_LETTER_FIRST = re.compile(rf"[{_LETTERS}]")
 _MARKED_WORD = re.compile(rf"[{_LETTERS}]+([,.;:!?]?)\Z")
 
 
@@ -99,9 +100,10 @@ def tokenizer_of_ranks(ranks: dict[bytes, int], pattern: str = public_tokenizers
     return tokenizer
 
 
-def load_tokenizer(name: str, data: bytes) -> Tokenizer:
+def load_tokenizer(name: str, data: bytes, special_names: bool = False) -> Tokenizer:
+    """``special_names``: the name of a special token in a text is that token, and not ordinary text."""
     tokenizer = tokenizer_of_ranks(load_ranks(data)) if name.endswith(".tiktoken") else Tokenizer.from_buffer(data)
-    tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
+    tokenizer.encode_special_tokens = not special_names
     return tokenizer
 
 
@@ -118,8 +120,10 @@ def little_endian(ids: list[int]) -> bytes:
 class Codec:
     """Encodes and decodes single texts; remembers the ids of pieces."""
 
-    def __init__(self, name: str, data: bytes):
-        self.tokenizer = load_tokenizer(name, data)
+    def __init__(self, name: str, data: bytes, special_names: bool = False):
+        self.tokenizer = load_tokenizer(name, data, special_names)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.names = tuple(t.content for t in added if t.content and (special_names or not t.special))
         self.model = self.tokenizer.model
         self.known = _Known(self.piece)
         self.spaced = _Known(self.after_space)
@@ -129,6 +133,9 @@ class Codec:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit integers."""
+        if self.names and any(name in text for name in self.names):
+            # names reach over places where pieces are cut, so such a text goes to the library whole
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         if spaces_meet(text):
             return np.frombuffer(b"".join(map(self.known.__getitem__, PIECES.findall(text))), "<u4")
         first, *rest = text.split(" ")
@@ -139,6 +146,9 @@ class Codec:
         """Ids of one piece."""
         if _WORD.match(text):
             return self.word(text)
+        found = _MARKED_WORD.match(text)
+        if found:
+            return self.known[text[:-1]] + self.known[found[1]]
         return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, text: str) -> bytes:
@@ -148,10 +158,13 @@ class Codec:
     def after_space(self, text: str) -> bytes:
         """Ids of a space and what follows it up to the next one."""
         found = _MARKED_WORD.match(text)
-        if not found:
-            return b"".join(map(self.known.__getitem__, PIECES.findall(" " + text)))
-        mark = found[1]
-        return self.spaced[text[:-1]] + self.known[mark] if mark else self.word(" " + text)
+        if found:
+            mark = found[1]
+            return self.spaced[text[:-1]] + self.known[mark] if mark else self.word(" " + text)
+        head, *lines = text.split("\n")
+        if lines and head and all(map(_LETTER_FIRST.match, lines)):
+            return self.spaced[head] + b"".join([self.known["\n"] + self.known[line] for line in lines])
+        return b"".join(map(self.known.__getitem__, PIECES.findall(" " + text)))
 
     def rest(self) -> None:
         """Forget pieces that have not been met for long."""
@@ -214,21 +227,21 @@ def decode_characters(parts: Iterable[bytes]) -> Iterator[str]:
 class Vocabulary:
     """A vocabulary file, read by the driver and sent once to each executor."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, special_names: bool = False):
         data = Path(path).read_bytes()
         if len(data) > MOST_VOCAB_BYTES:
             raise ValueError(f"{path} has more than {MOST_VOCAB_BYTES} bytes")
-        self.name = Path(path).name
+        self.name, self.special_names = Path(path).name, special_names
         self.shared = spark.sparkContext.broadcast(data)
 
     def codec(self) -> Codec:
         """This task's codec."""
-        return _codec(self.name, self.shared.value)
+        return _codec(self.name, self.shared.value, self.special_names)
 
 
 @lru_cache(maxsize=2)
-def _codec(name: str, data: bytes) -> Codec:
-    return Codec(name, data)
+def _codec(name: str, data: bytes, special_names: bool) -> Codec:
+    return Codec(name, data, special_names)
 
 
 ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])

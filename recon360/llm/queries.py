@@ -91,7 +91,7 @@ def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "token_files").path("ids")
-    vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(FILES_VOCABULARY))
+    vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(FILES_VOCABULARY), special_names=True)
     token_files.write(_table(spark, sf_dir, "documents"), vocabulary, path, end_id=FILES_END_ID)
     return token_files.read_documents(spark, path)
 

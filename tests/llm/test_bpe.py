@@ -42,12 +42,17 @@ def test_ids_are_those_of_the_rank_file(codec, reference):
         assert codec.encode(text).tolist() == reference.encode_ordinary(text), repr(text)
 
 
-def test_json_vocabulary_agrees_with_the_library():
+@pytest.mark.parametrize("special_names", [False, True])
+def test_json_vocabulary_agrees_with_the_library(special_names):
     path = public_tokenizers.path(FILES_VOCABULARY)
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
-    codec = bpe.Codec(path, open(path, "rb").read())
-    for text in odd_texts():
+    assert not library.encode_special_tokens
+    library.encode_special_tokens = not special_names
+    codec = bpe.Codec(path, open(path, "rb").read(), special_names)
+    named = "a <|endoftext|> b<|endoftext|>\n<|endoftext|><|endoftext|>c <|endoftext| >"
+    assert (50256 in codec.encode(named).tolist()) == special_names
+    lines = ["Aa.\nBb cc,\nDd. Ee", " x\ny\nZ, a.\nb\n", "one.\n two", "a\n1 b", "a.\n\nb", "q\né. É\nz"]
+    for text in [*odd_texts(), named, *lines]:
         assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 

@@ -59,3 +59,13 @@ def test_empty_table(spark, nothing, work):
     path = work.path("none")
     token_files.write(nothing, bpe.Vocabulary(spark, PATH), path, end_id=2)
     assert token_files.read_documents(spark, path).count() == 0
+
+
+def test_names_of_special_tokens_are_read_as_the_library_reads_them(spark, work):
+    texts = [(1, "a <|endoftext|> b"), (2, "plain"), (3, "<|endoftext|>" * 3)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    token_files.write(docs, bpe.Vocabulary(spark, PATH, special_names=True), work.path("ids"), end_id=2)
+    library = Tokenizer.from_file(PATH)
+    expected = [library.encode(t, add_special_tokens=False).ids + [2] for _, t in texts]
+    assert 50256 in expected[0] and expected[2] == [50256] * 3 + [2]
+    assert token_files.read_range(spark, work.path("ids"), 0, sum(map(len, expected))).tolist() == sum(expected, [])
