@@ -36,19 +36,19 @@ REMEMBERED_LENGTH = 64
 
 # The characters with the property White_Space, and the letters of Latin-1.
 _SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A line end before a letter; a word that ends before white space or one of six marks; otherwise all up
 # to the next white space. The splitting pattern cuts before white space that follows something else,
 # between a single line end and a letter, and between a letter and such a mark, whatever stands around.
 PIECES = re.compile(
-    rf"\n(?=[{_LETTERS}])| ?[{_LETTERS}]+(?=[{_SPACES},.;:!?]|\Z)|[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+"
+    rf"\n(?=[{LETTERS}])| ?[{LETTERS}]+(?=[{_SPACES},.;:!?]|\Z)|[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+"
 )
 # Where white space meets a space, pieces do not start at every space.
 _SPACES_MEET = re.compile(rf" [{_SPACES}]|[{_SPACES}] ")
 _ASCII_SPACES_MEET = tuple(pair for c in " \t\n\x0b\x0c\r" for pair in {" " + c, c + " "})
-_WORD = re.compile(rf" ?[{_LETTERS}]+\Z")
-_LETTER_FIRST = re.compile(rf"[{_LETTERS}]")
-_MARKED_WORD = re.compile(rf"[{_LETTERS}]+([,.;:!?]?)\Z")
+_WORD = re.compile(rf" ?[{LETTERS}]+\Z")
+_LETTER_FIRST = re.compile(rf"[{LETTERS}]")
+_MARKED_WORD = re.compile(rf"[{LETTERS}]+([,.;:!?]?)\Z")
 
 
 def byte_characters() -> list[str]:

@@ -25,7 +25,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recon360.llm.bpe import MOST_VOCAB_BYTES, Codec, Vocabulary
+from recon360.llm.bpe import LETTERS, MOST_VOCAB_BYTES, Codec, Vocabulary
 from recon360.llm.common import pick, text_slices
 from recon360.sources.store import TableStore
 
@@ -34,6 +34,8 @@ _B_BITS = 24
 _META_SPACE = "▁"
 # Segments begin where a space or a line end follows something else.
 SEGMENT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+_MARKS = ",.;:!?"
+_LETTER_MARK = re.compile(f"[{LETTERS}].\\Z")
 # Segments a task remembers, and the longest of them.
 REMEMBERED = 500_000
 REMEMBERED_LENGTH = 64
@@ -82,6 +84,13 @@ class Pieces:
         pieces = [self.model.id_to_piece(i) for i in range(len(self.token_bytes)) if not self.model.is_byte(i)]
         self.separable = not any(re.search(rf"[^{_META_SPACE}]{_META_SPACE}", p) or "\n" in p[1:] for p in pieces)
         self.prefix = self.model.piece_to_id(_META_SPACE)
+        # Nor do they reach from a letter to a mark after it, if no piece has both.
+        ids = {mark: self.model.piece_to_id(mark) for mark in _MARKS}
+        self.marks = {
+            mark: np.array([i], "<i4").tobytes()
+            for mark, i in ids.items()
+            if self.token_bytes[i] == mark.encode() and not any(re.search(f"[{LETTERS}]{re.escape(mark)}", p) for p in pieces)
+        }
         self.known = _Known(self._segment)
 
     def _bytes(self, i: int) -> bytes:
@@ -94,6 +103,9 @@ class Pieces:
         return None if None in parts else np.frombuffer(b"".join(parts), "<i4").astype(np.int64)
 
     def _segment(self, text: str) -> bytes | None:
+        if text[-1] in self.marks and _LETTER_MARK.search(text):
+            word = self.known[text[:-1]]
+            return None if word is None else word + self.marks[text[-1]]
         if text == " ":  # the model adds none to an empty text
             ids = [self.prefix]
         elif text[0] == " ":
@@ -121,6 +133,8 @@ class Aligner:
 
     def __init__(self, a: Codec, b: Pieces):
         self.a, self.b = a, b
+        # A byte-level vocabulary that has every byte spells every text.
+        self.a_spells = a.tokenizer.normalizer is None and {bytes([i]) for i in range(256)} <= set(a.token_bytes)
         self.same = identity_map(a.token_bytes, b)
         self.a_texts = _texts(len(a.token_bytes), ",|")
         self.b_texts = _texts(len(b.token_bytes), ",;")
@@ -133,8 +147,9 @@ class Aligner:
         if b is None:
             return None
         a = self.a.encode(" " + text).astype(np.int64)
-        spelled = b"".join(map(self.a.token_bytes.__getitem__, a.tolist())) == (" " + text).encode()
-        return (a, b) if spelled else None
+        if not self.a_spells and b"".join(map(self.a.token_bytes.__getitem__, a.tolist())) != (" " + text).encode():
+            return None
+        return a, b
 
     def rest(self) -> None:
         """Forget what has not been met for long."""

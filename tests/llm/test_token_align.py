@@ -118,9 +118,9 @@ def test_only_irregular_groups_enter_the_shuffle(spark, work):
 def test_segments_give_the_tokens_of_whole_texts(plain):
     codec = token_align.Codec("byte_bpe_50k.json", open(A, "rb").read())
     aligner = token_align.Aligner(codec, token_align.Pieces(open(B, "rb").read()))
-    assert aligner.b.separable
+    assert aligner.b.separable and set(aligner.b.marks) == set(",.;:!?") and aligner.a_spells
     rng = random.Random(2)
-    alphabet = [" ", "  ", "\n", "\t", "\r\n", "\x85", "\xa0", "\u3000", "\u200b", "\x1c", "\x0b", "the", "The", "ing", "a", "'s", "'", "1", "99", ".", ",", "\u00e9", "\u7684", "\u2581", "<s>", "_"]
+    alphabet = [" ", "  ", "\n", "\t", "\r\n", "\x85", "\xa0", "\u3000", "\u200b", "\x1c", "\x0b", "the", "The", "ing", "a", "'s", "'", "1", "99", ".", ",", "!", "?", ":", ";", "\u00b2", "\u00df", "\u00e9", "\u7684", "\u2581", "<s>", "_"]
     spelled = 0
     for _ in range(6000):
         text = "".join(rng.choices(alphabet, k=rng.randint(1, 9)))
