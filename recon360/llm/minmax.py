@@ -206,12 +206,15 @@ def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(upper, lower) links: the pairs that are similar on their full sets."""
+    """The pairs that are similar on their full sets."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set")), "b")
     shared = F.size(F.array_intersect("a_set", "b_set"))
-    similar = both.where(_alike(F.size("a_set"), F.size("b_set"), shared))
-    return similar.select(F.greatest("a", "b").alias("upper"), F.least("a", "b").alias("lower"))
+    return both.where(_alike(F.size("a_set"), F.size("b_set"), shared)).select("a", "b")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("upper"), F.least("a", "b").alias("lower"))
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -247,21 +250,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = left[a], right[b]
     _, first = np.unique(np.stack((root[a], root[b])), axis=1, return_index=True)
     a, b = node[a[first]], node[b[first]]
-    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["upper", "lower"])
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _links_in_crowds(crowded: DataFrame, sets: DataFrame, store: TableStore) -> DataFrame:
-    """(upper, lower) links between nodes of different roots that meet in a crowded key.
+    """(a, b) links between nodes of different roots that meet in a crowded key.
 
-    ``crowded`` has key, node and root. Keys that share nodes are one crowd, so no two nodes are compared
-    for each of their keys. Of a crowd the nodes outside its largest component are compared with all, in
-    blocks: a task holds two blocks of sets, never a crowd, and only links leave it.
+    ``crowded`` has hub, node and root. Keys of one hub are one crowd, so nodes that share many keys are
+    compared once. Of a crowd the nodes outside its largest component are compared with all, in blocks: a
+    task holds two blocks of sets, never a crowd, and only links leave it.
     """
-    hubs = store("crowd_hubs", crowded.groupBy("key").agg(F.min("node").alias("hub")))
-    met = crowded.join(hubs, "key").where("node != hub").select(F.col("node").alias("upper"), F.col("hub").alias("lower"))
-    crowds = _rooted(crowded.select("node", "root").distinct().withColumnRenamed("root", "component"), smallest_in_component(met, _Below(store, "crowd")))
-    crowds = crowds.withColumnRenamed("root", "crowd").join(sets.select("node", F.size("shingles").alias("n")), "node")
-    crowds = store("crowds", crowds)
+    crowds = crowded.select(F.col("hub").alias("crowd"), "node", F.col("root").alias("component")).distinct()
+    crowds = store("crowds", crowds.join(sets.select("node", F.size("shingles").alias("n")), "node"))
     parts = store("crowd_parts", crowds.groupBy("crowd", "component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("n")))
     whole = parts.groupBy("crowd").agg(
         F.max_by("component", F.struct("nodes", "component")).alias("largest"), F.sum("nodes").alias("nodes"), F.sum("n").alias("n")
@@ -274,7 +274,7 @@ def _links_in_crowds(crowded: DataFrame, sets: DataFrame, store: TableStore) ->
     left = placed.where(F.col("component") != F.col("largest")).select(*names, F.lit(0).alias("side"), F.col("own").alias("i"), others.alias("j"))
     right = placed.select(*names, F.lit(1).alias("side"), others.alias("i"), F.col("own").alias("j"))
     dealt = left.unionByName(right).join(sets, "node").drop("n")
-    return dealt.groupBy("crowd", "i", "j").applyInArrow(_compare, "upper long, lower long")
+    return dealt.groupBy("crowd", "i", "j").applyInArrow(_compare, "a long, b long")
 
 
 def components(docs: DataFrame, store: TableStore) -> tuple[DataFrame, DataFrame]:
@@ -302,7 +302,9 @@ def components(docs: DataFrame, store: TableStore) -> tuple[DataFrame, DataFrame
     members = store("met_hub", busy.drop("company").join(hubs, "key"))
     stars = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = store("star_links", _confirmed(store("stars", _promising(stars, nodes)), sets))
-    roots = store("star_roots", smallest_in_component(links, _Below(store, "star")))
+    # What is linked to one hub is one component; of several hubs the busiest names it.
+    busiest = links.join(met.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("id"))
+    roots = store("star_roots", busiest.agg(F.max(F.struct("company", "a"))["a"].alias("root")))
 
     # What the links have left apart in a key.
     rooted = store("rooted", _rooted(members.where("n > 2"), roots))
@@ -313,19 +315,9 @@ def components(docs: DataFrame, store: TableStore) -> tuple[DataFrame, DataFrame
     a, b = (few.select("key", "hub", F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab")
     pairs = a.join(b.drop("hub"), "key").where("a_root < b_root and a != hub and b != hub").select("a", "b").distinct()
     late = _confirmed(store("pairs", _promising(pairs, nodes)), sets)
-    crowded = left.where(F.col("n") > MANY).select("key", "node", "root")
+    crowded = left.where(F.col("n") > MANY).select("hub", "node", "root")
     late = store("late_links", late.unionByName(_links_in_crowds(crowded, sets, store)))
-    return signed, store("roots", smallest_in_component(links.unionByName(late), _Below(store, "all")))
-
-
-class _Below:
-    """A store whose names begin with a word."""
-
-    def __init__(self, store: TableStore, name: str):
-        self.store, self.name = store, name
-
-    def __call__(self, name: str, df: DataFrame) -> DataFrame:
-        return self.store(f"{self.name}_{name}", df)
+    return signed, store("roots", smallest_in_component(_ordered(links.unionByName(late)), store))
 
 
 def near_duplicates(docs: DataFrame, store: TableStore) -> DataFrame:

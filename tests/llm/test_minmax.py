@@ -111,13 +111,13 @@ def test_blocks_join_what_is_similar(spark, work, monkeypatch):
     sets = [(i, sorted({*bases[i % 15][rng.randint(0, 3) :], *rng.sample(range(80), rng.randint(0, 3))})) for i in range(300)]
     similar = [(i, j) for i, a in sets for j, b in sets if i < j and 100 * len({*a} & {*b}) >= 80 * len({*a} | {*b})]
     table = spark.createDataFrame(sets, "node long, shingles array<long>")
-    crowded = table.selectExpr("1L as key", "node", "node as root").unionByName(table.selectExpr("2L as key", "node", "node as root").where("node < 5"))
+    crowded = table.selectExpr("1L as hub", "node", "node as root").unionByName(table.selectExpr("2L as hub", "node", "node as root").where("node < 5"))
     monkeypatch.setattr(minmax, "BLOCK_NODES", 40)
-    found = {(r.lower, r.upper) for r in minmax._links_in_crowds(crowded, table, work).collect()}
+    found = {(min(r), max(r)) for r in minmax._links_in_crowds(crowded, table, work).collect()}
     assert found == set(similar) and len(similar) > 100
     # of each two components one link is enough
-    joined = crowded.selectExpr("key", "node", "node div 60 as root")
-    found = {(r.lower, r.upper) for r in minmax._links_in_crowds(joined, table, type(work)(spark, work.path("joined"))).collect()}
+    joined = crowded.selectExpr("hub", "node", "node div 60 as root")
+    found = {(min(r), max(r)) for r in minmax._links_in_crowds(joined, table, type(work)(spark, work.path("joined"))).collect()}
     roots = {(i // 60, j // 60) for i, j in similar if i // 60 != j // 60}
     assert found <= set(similar) and {(i // 60, j // 60) for i, j in found} == roots and len(found) < len(similar)
 
