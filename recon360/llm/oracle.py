@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from recon360.llm.lexical import TERM
 from recon360.llm.queries import MIX_EXPONENT, MIX_SEED
-from recon360.llm.quality_rules import RULES, Risk
+from recon360.llm.quality_rules import RULES, Risk, level_cuts
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -91,12 +91,12 @@ from scored where score > 0 qualify rank <= 20
 def _op3() -> str:
     risk = Risk()
     steps = ", ".join(
-        f"({r}, {i}, {float(cut)}, '{rule.name}')" for r, rule in enumerate(RULES) for i, cut in enumerate(rule.grid)
+        f"({r}, {t}, {float(cuts[r])}, '{rule.name}')" for t, cuts in enumerate(level_cuts(RULES)) for r, rule in enumerate(RULES)
     )
     values = " ".join(f"when {r} then {rule.feature}" for r, rule in enumerate(RULES))
     below = ", ".join(str(r) for r, rule in enumerate(RULES) if not rule.above)
     beyond = f"coalesce(case when rule in ({below}) then v < cut else v > cut end, false)"
-    p = risk.rejected / len(RULES)
+    p = risk.rejected
     words = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
     return rf"""
 with w as materialized (
@@ -120,26 +120,33 @@ f0 as materialized (
 f as materialized (
     select *, (n_words < 10 or 100 * n_repeat_words > 20 * n_words) as base_failed from f0
 ),
-good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
+judged as (
+    select doc_id, min(quality) as quality from labels where quality is not null group by doc_id having min(quality) in (0, 1)
+),
 grid(rule, step, cut, name) as (values {steps}),
-lost as (
-    select stratum, rule, step, cut, name, count(*) as n, sum({beyond}::int)::bigint as k
-    from (select *, case rule {values} end as v from f join good using (doc_id), grid where not base_failed)
+judged_at as (
+    select doc_id, stratum, quality, step, bool_or({beyond}) as hit
+    from (select *, case rule {values} end as v from f join judged using (doc_id), grid where not base_failed)
     group by all
 ),
+counted as (
+    select stratum, step, count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and hit) as k,
+           count(*) filter (quality = 0 and hit) as caught
+    from judged_at group by all
+),
 tested as (
     select *, case when k >= n * {p} then 1.0 else list_sum(list_transform(range(0, k + 1),
         lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln({1 - p})))) end as tail
-    from lost
+    from counted
 ),
 cuts as (
-    select stratum, rule, name, max(step) as step from tested
-    where tail <= {risk.error} / ({len(RULES)} * (select count(distinct stratum) from f)) group by all
+    select stratum, step from tested where tail <= {risk.error} / (select count(distinct stratum) from f)
+    qualify row_number() over (partition by stratum order by caught desc, step) = 1
 ),
 hits as (
     select doc_id, string_agg(name, ',' order by rule) as rejected_by
-    from (select f.doc_id, c.name, c.rule, g.cut, case c.rule {values} end as v
-          from f join cuts c using (stratum) join grid g on g.rule = c.rule and g.step = c.step)
+    from (select f.doc_id, g.name, g.rule, g.cut, case g.rule {values} end as v
+          from f join cuts c using (stratum) join grid g using (step))
     where {beyond} group by doc_id
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

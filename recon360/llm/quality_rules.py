@@ -1,15 +1,18 @@
 """Quality rules whose cutoffs carry a risk guarantee.
 
-Every rule compares a feature of the text with a cutoff. The cutoff is the strictest of a fixed grid
-for which labelled good documents prove, stratum by stratum, that the rule rejects few good documents:
-an exact binomial test (the test that the Clopper-Pearson bound inverts) at a level corrected for all
-rules and strata. DataFrame operations only.
+Every rule compares a feature of the text with a cutoff. The cutoffs of all rules move together along one
+sequence of levels from lenient to strict. Stratum by stratum, labelled good documents prove of each level
+that its rules together reject few of them: an exact binomial test (the one that the Clopper-Pearson bound
+inverts) at a level corrected for the strata. Along the sequence the losses only grow, so testing in its
+order needs no correction, and all levels that pass are safe at once; of these the one in force rejects
+most labelled bad documents, the most lenient of equal ones. DataFrame operations only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,52 +149,46 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k.cast("double") >= n.cast("double") * p, F.lit(1.0)).otherwise(F.exp(top + F.log(total)))
 
 
-def cutoffs(features: DataFrame, labels: DataFrame, risk: Risk = Risk(), rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Per stratum: n_good and one column ``cut_<rule>``, null where no cutoff is safe.
+def level_cuts(rules: Sequence[Rule]) -> list[list[float]]:
+    """Per level the cutoff of each rule; a rule whose grid is shorter stays at its last."""
+    return [[rule.grid[min(t, len(rule.grid) - 1)] for rule in rules] for t in range(max(len(rule.grid) for rule in rules))]
+
 
-    ``labels`` (doc_id, quality) marks good documents with 1; those that pass the base conditions are
-    the holdout. A rule may lose its share ``risk.rejected / rules`` of them. Its grid is tested from
-    lenient to strict, which needs no correction (the losses only grow); the error is divided among all
-    pairs of rule and stratum. Labels that are null or have no document are ignored; a document with
-    several labels counts once, by the lowest. Without labels no rule rejects anything.
+def cutoffs(features: DataFrame, labels: DataFrame, risk: Risk = Risk(), rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Per stratum: n_good and one column ``cut_<rule>``, null where no level is safe.
+
+    ``labels`` (doc_id, quality) marks good documents with 1 and bad ones with 0; those that pass the base
+    conditions are the holdout. A level is safe if the rules together lose at most ``risk.rejected`` of the
+    good ones, with the error divided among the strata: without a loss this takes
+    ln(error / strata) / ln(1 - rejected) labelled good documents. Labels that are null or have no document
+    are ignored; a document with several labels counts once, by the lowest. Without labels no rule rejects
+    anything.
     """
-    good = (
+    judged = (
         pick(labels, "doc_id", "quality")
         .where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
-        .where("quality = 1")
+        .where("quality in (0, 1)")
     )
     strata = features.select("stratum").distinct().count()
-    losses = [
-        F.sum(_beyond(rule, F.lit(cut)).cast("long")).alias(f"lost_{r}_{i}")
-        for r, rule in enumerate(rules)
-        for i, cut in enumerate(rule.grid)
+    levels = level_cuts(rules)
+    rejects = [reduce(Column.__or__, [_beyond(rule, F.lit(cut)) for rule, cut in zip(rules, cuts, strict=True)]) for cuts in levels]
+    good = F.col("quality") == 1
+    counts = [
+        F.count_if(which & rejected).alias(f"{name}_{t}") for t, rejected in enumerate(rejects) for name, which in (("lost", good), ("caught", ~good))
     ]
-    counted = (
-        features.where("not base_failed").join(good, "doc_id").groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *losses)
-    )
-    candidates = counted.select(
+    counted = features.where("not base_failed").join(judged, "doc_id").groupBy("stratum").agg(F.count_if(good).alias("n_good"), *counts)
+    steps = [F.struct(F.lit(t).alias("level"), F.col(f"lost_{t}").alias("lost"), F.col(f"caught_{t}").alias("caught")) for t in range(len(levels))]
+    tested = counted.select("stratum", "n_good", F.inline(F.array(*steps)))
+    safe = binomial_cdf(F.col("lost"), F.col("n_good"), risk.rejected) <= risk.error / max(1, strata)
+    best = F.max(F.when(safe, F.struct("caught", (-F.col("level")).alias("place"))))["place"]
+    chosen = tested.groupBy("stratum", "n_good").agg((-best).alias("level"))
+    return chosen.select(
         "stratum",
         "n_good",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.col(f"lost_{r}_{i}").alias("lost"))
-                    for r, rule in enumerate(rules)
-                    for i in range(len(rule.grid))
-                ]
-            )
-        ),
+        *[F.get(F.array(*[F.lit(cuts[r]) for cuts in levels]), F.col("level")).alias(f"cut_{rule.name}") for r, rule in enumerate(rules)],
     )
-    share, level = risk.rejected / len(rules), risk.error / max(1, len(rules) * strata)
-    safe = F.when(binomial_cdf(F.col("lost"), F.col("n_good"), share) <= level, F.col("step"))
-    # the last step that passes is the strictest
-    strictest = [
-        F.get(F.array(*map(F.lit, rule.grid)), F.max(F.when(F.col("rule") == r, F.col("safe")))).alias(f"cut_{rule.name}")
-        for r, rule in enumerate(rules)
-    ]
-    return candidates.withColumn("safe", safe).groupBy("stratum", "n_good").agg(*strictest)
 
 
 def _beyond(rule: Rule, cut: Column) -> Column:

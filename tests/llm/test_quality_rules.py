@@ -72,6 +72,33 @@ def test_a_rule_comes_into_force_only_when_proven_safe(spark, work):
         assert q.apply_rules(docs, labels, work).where("not kept").count() == 0
 
 
+def test_of_the_safe_levels_the_most_lenient_that_rejects_most_is_in_force(spark, work):
+    """Symbols are bad, repeated lines are not: a stricter level would lose good documents for nothing."""
+    prose = [f"w{i}" for i in range(60)]
+    line = " ".join(f"v{i}" for i in range(12))
+    rows = []
+    for i in range(1000):
+        text = "\n".join([" ".join(prose), line + f" {i}"] + [f"a{i % 7} b"] * (2 if i % 100 == 0 else 1))
+        rows.append((i, text, "en", 1))
+    rows += [(2000 + i, " ".join(f"{w}%" if i % 2 else f"{w}%%%%" for w in prose), "en", 0) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    out = q.apply_rules(table, table.select("doc_id", "quality"), work)
+    assert out.where("not kept and doc_id < 2000").count() == 0
+    assert out.where("kept and doc_id >= 2000").count() == 0
+    cut = spark.read.parquet(work.path("cutoffs")).first()
+    assert cut.n_good == 1000 and cut.cut_symbols_per_word == 0.75 and cut.cut_duplicate_lines == 0.3
+
+
+def test_the_joint_loss_stays_within_the_risk(spark, work):
+    """Each of two rules alone would lose few enough; together they lose too many."""
+    prose = [f"w{i}" for i in range(40)]
+    noisy, long = " ".join(w + "%%%%" for w in prose), " ".join(w + "x" * 110 for w in prose)
+    texts = [noisy] * 12 + [long] * 12 + [" ".join(prose)] * 976
+    rows = [(i, t, "en", 1) for i, t in enumerate(texts)] + [(5000 + i, noisy, "en", 0) for i in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    assert q.apply_rules(table, table.select("doc_id", "quality"), work).where("not kept").count() == 0
+
+
 def test_messy_table(spark, messy, nothing, work):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (99, 1), (3, None)], "doc_id long, quality int")
     got = q.apply_rules(messy, labels, work).collect()
@@ -86,7 +113,7 @@ def test_sql_agrees_where_cutoffs_are_in_force(spark, work):
     from recon360.llm.oracle import ORACLE_SQL
 
     docs, labels = _labelled(spark, 2500, 60, 0.0004)
-    few, few_labels = _labelled(spark, 300, 20, 0.0)  # a stratum too small for a cutoff
+    few, few_labels = _labelled(spark, 150, 20, 0.0)  # a stratum too small for a cutoff
     docs = docs.unionByName(few.selectExpr("doc_id + 10000 as doc_id", "text", "'fr' as lang"))
     labels = labels.unionByName(few_labels.selectExpr("doc_id + 10000 as doc_id", "quality"))
     got = q.apply_rules(docs, labels, work).selectExpr("doc_id", "kept", "array_join(rejected_by, ',') as by").collect()
