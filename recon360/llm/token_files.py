@@ -118,17 +118,22 @@ def write(docs: DataFrame, vocabulary: Vocabulary, path: str, end_id: int, block
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        docs = batch.column(5)
+        ends, (doc_id, at, n_tokens) = docs.offsets.to_numpy(), docs.values.flatten()
+        at, n_tokens = at.to_numpy(), n_tokens.to_numpy()
         for row in range(batch.num_rows):
-            shard, first, n_ids, bits, payload, docs = (c[row].as_py() for c in batch.columns)
-            ids = unpack(payload, bits, n_ids)
-            parts = [ids[d["at"] : d["at"] + d["n_tokens"]] for d in docs]
+            shard, first, n_ids, bits, payload = (c[row].as_py() for c in batch.columns[:5])
+            here = slice(int(ends[row]), int(ends[row + 1]))
+            data = memoryview(unpack(payload, bits, n_ids).astype("<u4").tobytes())
+            begins, sizes = at[here], n_tokens[here]
+            sums = [zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(begins.tolist(), sizes.tolist(), strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": pa.array([d["doc_id"] for d in docs], pa.int64()),
-                    "shard": pa.array([shard] * len(docs), pa.int32()),
-                    "at": pa.array([first + d["at"] for d in docs], pa.int64()),
-                    "n_tokens": pa.array([d["n_tokens"] for d in docs], pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64()),
+                    "doc_id": doc_id[here.start : here.stop],
+                    "shard": pa.array(np.full(len(sums), shard, np.int32)),
+                    "at": pa.array(first + begins),
+                    "n_tokens": pa.array(sizes),
+                    "ids_crc32": pa.array(sums, pa.int64()),
                 }
             )
 
