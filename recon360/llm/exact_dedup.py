@@ -1,8 +1,10 @@
 """Exact deduplication against a persistent digest index.
 
-The index is a Parquet table bucketed and sorted by digest. A batch of documents is reduced to one row
-per digest, deduplicated against the index by a sort-merge anti-join (the index side is neither
-shuffled nor sorted) and its new digests are appended. DataFrame operations only.
+The index is a Parquet table bucketed and sorted by digest, of one file per bucket, and a second one of
+the same buckets for what came since. A batch of documents is reduced to one row per digest, deduplicated
+against both by sort-merge anti-joins, and its new digests are appended to the second, which is merged
+into the first after some appends. The first is neither shuffled nor sorted to be joined, the second is
+not shuffled. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -25,34 +27,87 @@ class DigestIndex:
     """Digests seen so far, with the id of the document that stays for each.
 
     ``path`` is the index: opening it again, in this or a later session, continues it. It must be
-    opened with the number of buckets it was made with. One writer at a time.
+    opened with the number of buckets it was made with. One writer at a time. The tables have names in
+    the session's catalogue until ``close``, which leaves the files.
     """
 
     COLUMNS = "digest BINARY, keep_id BIGINT"
+    # Appends before the appended digests are merged into the sorted files.
+    MOST_APPENDS = 8
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark = spark
         self.path = f"{path.rstrip('/')}/buckets_{buckets}"
         self.buckets = buckets
-        self.table = f"digests_{hashlib.md5(self.path.encode()).hexdigest()}"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} ({self.COLUMNS}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
-        )
+        # a bucket of one file is read in the order it was written in
+        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._path = hadoop.Path
+        self._files = hadoop.Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.version = 0
+        while self._whole(self.version + 1):
+            self.version += 1
+        self._open()
+
+    def _whole(self, version: int) -> bool:
+        """Whether a merge was finished; an unfinished one is written again."""
+        return self._files.exists(self._path(f"{self.path}/sorted_{version}/_SUCCESS"))
+
+    def _open(self) -> None:
+        name = hashlib.md5(self.path.encode()).hexdigest()
+        self.tables = {}
+        for kind in ("sorted", "recent"):
+            self.tables[kind] = f"digests_{name}_{kind}_{self.version}"
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.tables[kind]} ({self.COLUMNS}) USING parquet CLUSTERED BY (digest) "
+                f"SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{kind}_{self.version}'"
+            )
+
+    def close(self) -> None:
+        for table in self.tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def _table(self, kind: str) -> DataFrame:
+        self.spark.catalog.refreshTable(self.tables[kind])
+        return self.spark.table(self.tables[kind])
 
     def read(self) -> DataFrame:
-        """The bucketed table."""
-        self.spark.catalog.refreshTable(self.table)
-        return self.spark.table(self.table)
+        return self._table("sorted").unionByName(self._table("recent"))
 
     def unseen(self, groups: DataFrame) -> DataFrame:
         """Rows of ``groups`` (unique by digest) whose digest the index lacks."""
-        return groups.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+        for kind in self.tables:
+            groups = groups.join(self._table(kind).select("digest").hint("merge"), "digest", "left_anti")
+        return groups
+
+    def seen(self, groups: DataFrame) -> DataFrame:
+        """(digest, index_id) of the digests of ``groups`` that the index has."""
+        kinds = [self._table(kind).select("digest", F.col("keep_id").alias("index_id")) for kind in self.tables]
+        found = [groups.select("digest").join(rows.hint("merge"), "digest") for rows in kinds]
+        return found[0].unionByName(found[1])
 
     def append(self, groups: DataFrame) -> None:
         """Add new digests, one sorted file per bucket."""
         rows = groups.select("digest", F.col("keep_id").cast("bigint"))
-        rows.repartition(self.buckets, "digest").write.insertInto(self.table)
+        rows.repartition(self.buckets, "digest").write.insertInto(self.tables["recent"])
+        files = self._files.listStatus(self._path(f"{self.path}/recent_{self.version}"))
+        if len(files) > self.MOST_APPENDS * self.buckets:
+            self.merge()
+
+    def merge(self) -> None:
+        """Write all digests as the next version: one sorted file per bucket, nothing appended."""
+        old, new = dict(self.tables), self.version + 1
+        rows, where = self.read(), f"{self.path}/sorted_{new}"
+        table = self.tables["sorted"].removesuffix(f"_{self.version}") + f"_{new}"
+        # Not by the column itself: a bucketed scan seems dealt out by it already, so that Spark drops the
+        # exchange and then, as nothing asks for buckets any more, reads files as they come.
+        dealt = rows.repartition(self.buckets, F.coalesce("digest", F.lit(b"")))
+        writer = dealt.write.mode("overwrite").option("path", where)
+        writer.bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(table)
+        self.version = new
+        self._open()
+        for name in old.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def ingest(docs: DataFrame, index: DigestIndex, store: TableStore) -> DataFrame:
@@ -79,18 +134,11 @@ def ingest(docs: DataFrame, index: DigestIndex, store: TableStore) -> DataFrame:
         .select("digest", F.col("last.doc_id").alias("keep_id"), F.col("last.row").alias("keep_row"), "group_size"),
     )
     new = store("new", index.unseen(groups))
-    index.append(new)
-    known = index.read().withColumnRenamed("keep_id", "index_id").hint("merge")
     # Written, so that the join below has a shuffle on both sides and a hot digest can split.
-    resolved = store(
-        "resolved",
-        groups.join(known, "digest")
-        .join(new.select("digest", F.lit(True).alias("is_new")).hint("merge"), "digest", "left")
-        .select(
-            "digest", F.col("index_id").alias("keep_id"), F.when(F.col("is_new"), F.col("keep_row")).alias("keep_row"),
-            "group_size",
-        ),
-    )
+    known = groups.drop("keep_id", "keep_row").join(index.seen(groups), "digest")
+    known = known.select("digest", F.col("index_id").alias("keep_id"), F.lit(None).cast("bigint").alias("keep_row"), "group_size")
+    resolved = store("resolved", new.select(known.columns).unionByName(known))
+    index.append(new)
     return rows.join(resolved, "digest").select(
         "doc_id",
         "keep_id",

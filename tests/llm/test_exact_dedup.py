@@ -48,13 +48,37 @@ def test_a_later_batch_meets_the_index(spark, work):
     assert again.read().count() == 3
 
 
-def test_anti_join_sorts_and_merges_without_shuffling_the_index(spark, work, messy):
+def _batch(spark, start):
+    return spark.range(start, start + 300).selectExpr("id as doc_id", "concat('text ', id % 400) as text")
+
+
+def test_the_index_is_neither_shuffled_nor_sorted(spark, work, monkeypatch):
+    monkeypatch.setattr(exact_dedup.DigestIndex, "MOST_APPENDS", 2)
+    index = _index(spark, work)
+    for i in range(4):  # the third append is merged into the sorted files, the fourth follows it
+        exact_dedup.ingest(_batch(spark, 150 * i), index, work).count()
+    assert index.version == 1 and index.read().count() == 400
+    plan = index.unseen(spark.read.parquet(work.path("groups")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 1  # the batch's own
+    exact_dedup.ingest(_batch(spark, 600), index, work).count()
+    exact_dedup.ingest(_batch(spark, 750), index, work).count()
+    plan = index.unseen(spark.read.parquet(work.path("groups")))._jdf.queryExecution().executedPlan().toString()
+    above = [a for a, b in zip(plan.split("\n"), plan.split("\n")[1:], strict=False) if "_sorted_1[" in b]
+    assert index.version == 1 and len(above) == 1 and "Filter" in above[0] and plan.count("Sort [") <= 2
+
+
+def test_an_index_opened_anew_goes_on_after_a_merge(spark, work, monkeypatch):
+    monkeypatch.setattr(exact_dedup.DigestIndex, "MOST_APPENDS", 1)
     index = _index(spark, work)
-    exact_dedup.ingest(messy, index, work).count()
-    groups = spark.read.parquet(work.path("groups"))
-    plan = index.unseen(groups)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
-    assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan
+    for i in range(3):
+        exact_dedup.ingest(_batch(spark, 150 * i), index, work).count()
+    version = index.version
+    index.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digests_")]
+    again = _index(spark, work)
+    assert version >= 1 and again.version == version and again.read().count() == 400
+    assert exact_dedup.ingest(_batch(spark, 5000), again, work).where("kept").count() == 0
 
 
 def test_kept_documents_carry_all_columns(spark, messy, work):
