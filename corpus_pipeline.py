@@ -30,7 +30,10 @@ def pass_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id; of a repeated row one."""
     store = workspace(spark, "stage_exact_dedup")
-    return exact_dedup.keep_documents(docs, exact_dedup.DigestIndex(spark, store.path("index")), store)
+    index = exact_dedup.DigestIndex(spark, store.path("index"))
+    kept = exact_dedup.keep_documents(docs, index, store)
+    index.close()
+    return kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
