@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -396,11 +397,21 @@ def neighbours(hashed: DataFrame, store: TableStore, reach: int = 1) -> DataFram
     return both.select("page", F.explode("others").alias("other")).where("other is not null")
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column, a page, as a compressed one: pages cross the network once and are mostly markup."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in text_slices(batches):
+        pages = batch.column(0).cast(pa.binary()).to_pylist()
+        packed = pa.array([None if p is None else press.compress(p) for p in pages], pa.binary())
+        yield pa.RecordBatch.from_arrays([packed, *batch.columns[1:]], ["packed", *batch.schema.names[1:]])
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpress = zstandard.ZstdDecompressor()
     for batch in text_slices(batches):
         texts = []
-        for page, path, others in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            found = lines(page)
+        for packed, path, others in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            found = lines(None if packed is None else unpress.decompress(packed).decode())
             near = [(o["path"], o["hashes"]) for o in others or ()]
             texts.append(main_text(found, shared_lines(found, path or "", near), recurring_lines(found, near)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
@@ -454,6 +465,8 @@ def extract(pages: DataFrame, store: TableStore) -> DataFrame:
         of_first = store("of_first", met_with(pairs.join(copied.select("page"), "page", "left_semi")).withColumnRenamed("page", "one"))
         copies = marked.join(copied.select("host", "digest", F.col("page").alias("one")), ["host", "digest"]).where("page <> one")
         others = others.unionByName(store("copies", copies.select("page", "one").distinct()).join(of_first, "one").select("page", "others"))
-    met = located.select("page_id", "url", "html", "path", "page").join(others, "page", "left")
-    texts = met.select("page_id", "url", "html", "path", "others").mapInArrow(_extract, "page_id long, url string, text string")
+    kinds = "packed binary, page_id long, url string, path string, page long"
+    packed = located.select("html", "page_id", "url", "path", "page").mapInArrow(_pack, kinds)
+    met = packed.join(others, "page", "left")
+    texts = met.select("page_id", "url", "packed", "path", "others").mapInArrow(_extract, "page_id long, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
