@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections import Counter, deque
 from collections.abc import Iterator, Sequence, Set
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -221,34 +221,88 @@ def line_hashes(page: str | None) -> list[int]:
 # --- differencing
 
 
+# Bits of rows that an alignment keeps at once; larger ones are halved first.
+ROW_BITS = 1 << 28
+
+
 def common_lines(a: Sequence[int], b: Sequence[int]) -> set[int]:
-    """Positions in ``a`` of a longest common subsequence (Hunt and Szymanski: matches, then the longest
-    increasing run)."""
+    """Positions in ``a`` of a longest common subsequence, by bit vectors (Hyyro's recurrence): a step for
+    each line of ``a`` whatever repeats, and memory in proportion to both."""
     first, last = 0, 0
     while first < min(len(a), len(b)) and a[first] == b[first]:
         first += 1
     while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
         last += 1
     kept = {*range(first), *range(len(a) - last, len(a))}
-    places: dict[int, list[int]] = {}
-    for j in range(len(b) - last - 1, first - 1, -1):
-        places.setdefault(b[j], []).append(j)
-    tails: list[int] = []  # smallest end in b of a common run of each length
-    ends: list[tuple] = []  # that run, as (position in a, the run before)
-    for i in range(first, len(a) - last):
-        for j in places.get(a[i], ()):
-            k = bisect_left(tails, j)
-            node = (i, ends[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                ends.append(node)
-            else:
-                tails[k], ends[k] = j, node
-    node = ends[-1] if ends else None
-    while node:
-        kept.add(node[0])
-        node = node[1]
-    return kept
+    both = set(a[first : len(a) - last]) & set(b[first : len(b) - last])
+    places = [i for i in range(first, len(a) - last) if a[i] in both]
+    found = _aligned([a[i] for i in places], [x for x in b[first : len(b) - last] if x in both])
+    return kept | {places[i] for i in found}
+
+
+class _Masks(dict):
+    """The places of a line in ``b`` as bits."""
+
+    def __init__(self, b: Sequence[int]):
+        self.at: dict[int, list[int]] = {}
+        for j, x in enumerate(b):
+            self.at.setdefault(x, []).append(j)
+
+    def __missing__(self, x: int) -> int:
+        found = self.at.get(x, ())
+        mask = 0
+        for j in found:
+            mask |= 1 << j
+        if len(found) > 64:  # few lines can have that many places
+            self[x] = mask
+        return mask
+
+
+def _rows(a: Sequence[int], b: Sequence[int]) -> Iterator[int]:
+    """After each line of ``a`` a vector whose zeros are where a prefix of ``b`` has one more line in common."""
+    masks, every = _Masks(b), (1 << len(b)) - 1
+    row = every
+    for x in a:
+        mask = masks[x]
+        row = ((row + (row & mask)) | (row & ~mask)) & every
+        yield row
+
+
+def _aligned(a: Sequence[int], b: Sequence[int]) -> list[int]:
+    if not a or not b:
+        return []
+    if len(a) > 1 and len(a) * len(b) > ROW_BITS:
+        middle = len(a) // 2
+        cut = _best_cut(a[:middle], a[middle:], b)
+        return _aligned(a[:middle], b[:cut]) + [middle + i for i in _aligned(a[middle:], b[cut:])]
+    rows = list(_rows(a, b))
+    found = []
+    i, j = len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                found.append(i)
+                j -= 1
+    return found[::-1]
+
+
+def _best_cut(head: Sequence[int], tail: Sequence[int], b: Sequence[int]) -> int:
+    """Where to cut ``b`` so that both halves together have most in common."""
+    before, after = (_common_by_length(x, y) for x, y in ((head, b), (tail[::-1], b[::-1])))
+    return int(np.argmax(before + after[::-1]))
+
+
+def _common_by_length(a: Sequence[int], b: Sequence[int]) -> np.ndarray:
+    """Lines in common with each prefix of ``b``, the empty one first."""
+    row = 0
+    for row in _rows(a, b):
+        pass
+    data = np.frombuffer(row.to_bytes(-(-len(b) // 8), "little"), np.uint8)
+    zeros = 1 - np.unpackbits(data, bitorder="little")[: len(b)].astype(np.int64)
+    return np.concatenate(([0], np.cumsum(zeros)))
 
 
 def _alike(path: str, other: str) -> int:

@@ -1,4 +1,7 @@
 import random
+import time
+
+import pytest
 
 from recon360.llm import html_diff as h
 
@@ -40,7 +43,9 @@ def _brute(a, b):
     return table[-1][-1]
 
 
-def test_longest_common_subsequence():
+@pytest.mark.parametrize("bits", [1 << 28, 20])
+def test_longest_common_subsequence(bits, monkeypatch):
+    monkeypatch.setattr(h, "ROW_BITS", bits)
     random.seed(2)
     for _ in range(500):
         a, b = ([random.randint(0, 6) for _ in range(random.randint(0, 14))] for _ in range(2))
@@ -50,6 +55,14 @@ def test_longest_common_subsequence():
         assert all(a[i] in rest for i in kept)  # in order
 
 
+def test_lines_that_repeat_do_not_stall_a_page():
+    random.seed(7)
+    a, b = ([random.choice((0, 1)) for _ in range(8000)] for _ in range(2))
+    start = time.process_time()
+    kept = h.common_lines(a, b)
+    assert time.process_time() - start < 5 and len(kept) > 5000
+
+
 def test_shared_lines_go_without_an_article(spark, work):
     page = "<div>Example Shop</div><div>Choose your language</div><p>{}</p><p>{}</p><div>Back to the top</div>"
     rows = [
