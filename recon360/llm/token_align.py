@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -35,9 +36,10 @@ _META_SPACE = "▁"
 # Segments begin where a space or a line end follows something else.
 SEGMENT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 _MARKS = ",.;:!?"
+A_WORD = re.compile(f" [{LETTERS}]+\\Z")
 _LETTER_MARK = re.compile(f"[{LETTERS}].\\Z")
 # Segments a task remembers, and the longest of them.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 REMEMBERED_LENGTH = 64
 
 _ALIGNED = pa.schema(
@@ -53,28 +55,8 @@ _ALIGNED_SQL = (
 )
 
 
-class _Known(dict):
-    """B ids of segments, worked out when first asked for."""
-
-    def __init__(self, find: Callable[[str], bytes | None], older: dict | None = None):
-        self.find, self.older = find, older or {}
-
-    def __missing__(self, segment: str) -> bytes | None:
-        found = self.older[segment] if segment in self.older else self.find(segment)
-        if len(segment) <= REMEMBERED_LENGTH:
-            self[segment] = found
-        return found
-
-    def aged(self) -> _Known:
-        """This, or when it is full an empty one that can still look things up here."""
-        if len(self) <= REMEMBERED // 2:
-            return self
-        self.older = {}
-        return _Known(self.find, self)
-
-
 class Pieces:
-    """A sentencepiece model, the bytes of its ids, and the ids of segments met before."""
+    """A sentencepiece model and the bytes of its ids."""
 
     def __init__(self, data: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=data)
@@ -87,35 +69,30 @@ class Pieces:
         # Nor do they reach from a letter to a mark after it, if no piece has both.
         ids = {mark: self.model.piece_to_id(mark) for mark in _MARKS}
         self.marks = {
-            mark: np.array([i], "<i4").tobytes()
+            mark: i
             for mark, i in ids.items()
             if self.token_bytes[i] == mark.encode() and not any(re.search(f"[{LETTERS}]{re.escape(mark)}", p) for p in pieces)
         }
-        self.known = _Known(self._segment)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(_META_SPACE, " ").encode()
 
-    def spelling(self, text: str) -> np.ndarray | None:
-        """Ids of a text that begins with the space which the model adds; None if they do not spell it."""
-        parts = [self.known[s] for s in (SEGMENT.findall(text) if self.separable else [text])]
-        return None if None in parts else np.frombuffer(b"".join(parts), "<i4").astype(np.int64)
+    def segments(self, texts: list[str]) -> list[list[int] | None]:
+        """Ids of each segment, None where they do not spell it."""
+        # The model puts a space before a text but an empty one. A segment begins with a space, which stands
+        # for that one, or with a line end, where the one put before it is a token alone.
+        found = self.model.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        return [self._spelled(t, ids) for t, ids in zip(texts, found, strict=True)]
 
-    def _segment(self, text: str) -> bytes | None:
-        if text[-1] in self.marks and _LETTER_MARK.search(text):
-            word = self.known[text[:-1]]
-            return None if word is None else word + self.marks[text[-1]]
-        if text == " ":  # the model adds none to an empty text
+    def _spelled(self, text: str, ids: list[int]) -> list[int] | None:
+        if text == " ":
             ids = [self.prefix]
-        elif text[0] == " ":
-            ids = self.model.encode(text[1:], num_threads=1)
-        else:  # a line end has no space before it: the one the model adds is a token alone
-            first, *ids = self.model.encode(text, num_threads=1)
-            if first != self.prefix:
+        elif text[0] != " ":
+            if ids[:1] != [self.prefix]:
                 return None
-        spelled = b"".join(map(self.token_bytes.__getitem__, ids)) == text.encode()
-        return np.array(ids, "<i4").tobytes() if spelled else None
+            ids = ids[1:]
+        return ids if b"".join(map(self.token_bytes.__getitem__, ids)) == text.encode() else None
 
 
 def identity_map(a: list[bytes], b: Pieces) -> np.ndarray:
@@ -128,8 +105,11 @@ def identity_map(a: list[bytes], b: Pieces) -> np.ndarray:
     return np.array([ids.get(t, -1) for t in a], np.int64)
 
 
+Ids = tuple[bytes, bytes]  # of A and of B, as little-endian integers of 32 bits
+
+
 class Aligner:
-    """Both tokenizers of a task."""
+    """Both tokenizers of a task, and the ids of segments met before."""
 
     def __init__(self, a: Codec, b: Pieces):
         self.a, self.b = a, b
@@ -138,23 +118,58 @@ class Aligner:
         self.same = identity_map(a.token_bytes, b)
         self.a_texts = _texts(len(a.token_bytes), ",|")
         self.b_texts = _texts(len(b.token_bytes), ",;")
+        self.marks = {m: (a.word(m), _little_endian([i])) for m, i in b.marks.items()}
+        self.known: dict[str, Ids | None] = {}
+        self.older: dict[str, Ids | None] = {}
+
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides of each text, None if they do not spell a space and the text."""
+        cut = SEGMENT.findall if self.b.separable else lambda text: [text]
+        parts = [cut(" " + t) if t else [] for t in texts]
+        ids = self._learned(set().union(*parts))
+        found = []
+        for segments in parts:
+            pairs = [ids[s] for s in segments]
+            if not pairs or None in pairs:
+                found.append(None)
+                continue
+            a, b = zip(*pairs, strict=True)
+            found.append(tuple(np.frombuffer(b"".join(side), "<i4").astype(np.int64) for side in (a, b)))
+        return found
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both sides, None if they do not spell a space and the text."""
-        if not text:
-            return None
-        b = self.b.spelling(" " + text)
-        if b is None:
+    def _learned(self, segments: set[str]) -> dict[str, Ids | None]:
+        """Ids of the segments; all new ones go to the model in one call."""
+        known, older = self.known, self.older
+        words = {s[:-1] if s[-1] in self.marks and _LETTER_MARK.search(s) else s for s in segments if s not in known}
+        new = []
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+            elif word not in known:
+                new.append(word)
+        for word, b in zip(new, self.b.segments(new) if new else [], strict=True):
+            known[word] = None if b is None else self._both(word, b)
+        for s in segments:
+            if s not in known:
+                word = known[s[:-1]]
+                known[s] = word and (word[0] + self.marks[s[-1]][0], word[1] + self.marks[s[-1]][1])
+        return known
+
+    def _both(self, text: str, b: list[int]) -> Ids | None:
+        a = self.a.word(text) if A_WORD.match(text) else self.a.encode(text).tobytes()
+        if not self.a_spells and self.a.decode(np.frombuffer(a, "<u4").tolist()) != text.encode():
             return None
-        a = self.a.encode(" " + text).astype(np.int64)
-        if not self.a_spells and b"".join(map(self.a.token_bytes.__getitem__, a.tolist())) != (" " + text).encode():
-            return None
-        return a, b
+        return a, _little_endian(b)
 
     def rest(self) -> None:
-        """Forget what has not been met for long."""
+        """Forget what has not been met for long, and long segments."""
         self.a.rest()
-        self.b.known = self.b.known.aged()
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = {s: ids for s, ids in self.known.items() if len(s) <= REMEMBERED_LENGTH}, {}
+
+
+def _little_endian(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 def _texts(n: int, marks: str) -> list[np.ndarray]:
@@ -232,8 +247,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], tokenizers: Tokenizers) -> Itera
     total = np.zeros(len(aligner.same), np.int64)
     for batch in text_slices(batches, 1 << 20):
         facts, same, same_n, pairs, pairs_n = [], [], [], [], []
-        for text in batch.column(1).to_pylist():
-            found = aligner.tokens(text)
+        for found in aligner.tokens(batch.column(1).to_pylist()):
             if found is None:
                 facts.append((0, 0, 0, 0, ""))
                 ids = ids_n = codes = codes_n = none

@@ -115,16 +115,22 @@ def test_only_irregular_groups_enter_the_shuffle(spark, work):
     assert [(r.n_groups, r.n_links, r.n_best, r.count_sum) for r in rows] == [(5, 5, 5, 10)] * 2
 
 
-def test_segments_give_the_tokens_of_whole_texts(plain):
+def test_segments_give_the_tokens_of_whole_texts(plain, monkeypatch):
     codec = token_align.Codec("byte_bpe_50k.json", open(A, "rb").read())
     aligner = token_align.Aligner(codec, token_align.Pieces(open(B, "rb").read()))
     assert aligner.b.separable and set(aligner.b.marks) == set(",.;:!?") and aligner.a_spells
     rng = random.Random(2)
     alphabet = [" ", "  ", "\n", "\t", "\r\n", "\x85", "\xa0", "\u3000", "\u200b", "\x1c", "\x0b", "the", "The", "ing", "a", "'s", "'", "1", "99", ".", ",", "!", "?", ":", ";", "\u00b2", "\u00df", "\u00e9", "\u7684", "\u2581", "<s>", "_"]
     spelled = 0
-    for _ in range(6000):
-        text = "".join(rng.choices(alphabet, k=rng.randint(1, 9)))
-        found, expected = aligner.tokens(text), brute_tokens(text, plain)
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 9))) for _ in range(6000)]
+    monkeypatch.setattr(token_align, "REMEMBERED", 200)
+    aligned = []
+    for start in range(0, 6000, 50):
+        aligned += aligner.tokens([*texts[start : start + 50], None, ""])[:50]
+        aligner.rest()
+        assert len(aligner.known) <= 100
+    for text, found in zip(texts, aligned, strict=True):
+        expected = brute_tokens(text, plain)
         assert (found is None) == (expected is None), repr(text)
         if found:
             spelled += 1
