@@ -96,7 +96,7 @@ def _star_round(edges: DataFrame, store: Store, number: int) -> DataFrame:
 def smallest_in_component(links: DataFrame, store: Store) -> DataFrame:
     """(id, root) for every id that is not the smallest of its connected component.
 
-    ``links`` has string columns ``upper > lower``. Each round is written out, which cuts the
+    ``links`` has columns ``upper > lower`` of one ordered type, text or numbers. Each round is written out, which cuts the
     lineage and survives the loss of executors.
     """
     edges = store("links_0", links.select("upper", "lower").distinct())
