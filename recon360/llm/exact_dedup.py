@@ -10,6 +10,7 @@ not shuffled. DataFrame operations only.
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from recon360.llm.common import Rows, ascii_lower, pick, text_hash
 from recon360.sources.store import TableStore
 
 
+_WRITE = re.compile(r"part-\d+-([0-9a-f-]{36})")
+
+
 def digest(text: Column) -> Column:
     """SHA-256, as 32 bytes, of the text with A-Z lower-cased; null counts as empty."""
     return F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))).cast("binary"), 256))
@@ -90,10 +94,15 @@ class DigestIndex:
         """Add new digests, one sorted file per bucket."""
         rows = groups.select("digest", F.col("keep_id").cast("bigint"))
         rows.repartition(self.buckets, "digest").write.insertInto(self.tables["recent"])
-        files = self._files.listStatus(self._path(f"{self.path}/recent_{self.version}"))
-        if len(files) > self.MOST_APPENDS * self.buckets:
+        if self._appends() > self.MOST_APPENDS:
             self.merge()
 
+    def _appends(self) -> int:
+        """Writes that the appended files come from: a name has that of its write in it."""
+        files = self._files.listStatus(self._path(f"{self.path}/recent_{self.version}"))
+        names = [str(f.getPath().getName()) for f in files]
+        return len({found[1] for found in map(_WRITE.match, names) if found})
+
     def merge(self) -> None:
         """Write all digests as the next version: one sorted file per bucket, nothing appended."""
         old, new = dict(self.tables), self.version + 1

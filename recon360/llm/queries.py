@@ -66,19 +66,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches into one index, ids above the middle first: so the largest id of a text comes first and
-    the index turns its copies in the second batch away."""
-    docs = pick(_table(spark, sf_dir, "documents"), "doc_id", "text")
     store = workspace(spark, "exact_dedup")
     index = exact_dedup.DigestIndex(spark, store.path("index"))
-    upper = F.coalesce(F.col("doc_id") > docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0], F.lit(False))
-    batches = [exact_dedup.ingest(docs.where(part), index, workspace(spark, "exact_dedup")) for part in (upper, ~upper)]
+    found = exact_dedup.ingest(_table(spark, sf_dir, "documents"), index, store)
     index.close()
-    found = store("batches", batches[0].unionByName(batches[1].withColumn("group_size", -F.col("group_size"))))
-    # a text's rows of both batches: each batch tells its number in every row
-    first, second = F.max(F.greatest("group_size", F.lit(0))), F.max(F.greatest(-F.col("group_size"), F.lit(0)))
-    sizes = store("sizes", found.groupBy("text_sha256").agg((first + second).alias("n")))
-    return found.join(sizes, "text_sha256").select("doc_id", "keep_id", F.col("n").alias("group_size"), "kept", "text_sha256")
+    return found
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
