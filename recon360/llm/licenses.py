@@ -22,8 +22,6 @@ from recon360.sources.store import TableStore, constant_rows
 
 UNKNOWN = "unknown"
 BUCKETS = 1 << 14
-# Paragraphs of the corpus the model is trained and calibrated on: some so many, half for each.
-SAMPLE_PARAGRAPHS = 6000
 # Words of the training passages, each half a passage after the one before it.
 PASSAGE_WORDS = (12, 24)
 # Weight of the unknown class, where every family weighs one.
@@ -219,45 +217,51 @@ def agreement(pairs: Column, template: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(pairs, template)), shorter), F.lit(0.0))
 
 
-def corpus_paragraphs(docs: DataFrame, most: int = SAMPLE_PARAGRAPHS) -> DataFrame:
-    """(paragraph): about ``most`` different ones, chosen by a hash; equal ones come once."""
+def corpus_paragraphs(docs: DataFrame, most: int | None = None) -> DataFrame:
+    """(paragraph): every different one once, or about ``most`` of them, chosen by a hash."""
     lines = docs.select(F.explode(paragraphs(F.col("text"))).alias("paragraph"))
+    if most is None:
+        return lines.distinct()
     n = lines.select(F.xxhash64("paragraph").alias("h")).distinct().count()
     spread = F.pmod(F.xxhash64("paragraph"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     return lines.where(spread < min(1.0, most / max(1, n))).distinct()
 
 
+def _quantile(likelihoods: DataFrame, share: float) -> float | None:
+    """The quantile of ``likelihood`` to six digits, between 0.5 and 0.99, over counts of so many values at most."""
+    value = F.round(F.least(F.greatest("likelihood", F.lit(0.5)), F.lit(0.99)), 6)
+    counts = likelihoods.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.expr(f"percentile(value, {share}, n)").alias("q")).first()["q"]
+
+
 def train(docs: DataFrame, store: TableStore) -> Scanner:
-    """Fit on the licence passages and half of the sampled paragraphs, calibrate on the other half.
+    """Fit on the licence passages and half of the corpus's different paragraphs, calibrate on the other half.
 
-    Sampled paragraphs that agree with a licence text are left out of both. An empty corpus leaves the
-    passages alone.
+    Paragraphs that agree with a licence text are left out of both. An empty corpus leaves the passages
+    alone.
     """
     spark = docs.sparkSession
-    sampled = corpus_paragraphs(pick(docs, "doc_id", "text"))
-    sampled = store("sampled", sampled.withColumn("pairs", bigrams(words(F.col("paragraph")))))
-    known = F.array(*[F.array(*map(F.lit, t["pairs"])) for t in templates(spark).collect()])  # the fixed texts
-    alike = F.exists(known, lambda t: agreement(F.col("pairs"), t) >= CONFIRMED / 2)
-    plain = store(
-        "plain",
-        sampled.where(~alike).select(
-            F.lit(UNKNOWN).alias("family"), "paragraph", (F.pmod(F.xxhash64("paragraph", F.lit("half")), F.lit(2)) == 0).alias("fit")
-        ),
-    )
+    seen = with_terms(corpus_paragraphs(pick(docs, "doc_id", "text")), "paragraph")
+    texts = [t["pairs"] for t in templates(spark).collect()]  # the fixed texts
+    # without a pair of any text, the texts need not be looked at one by one
+    shares = F.arrays_overlap("pairs", F.array(*map(F.lit, sorted({pair for t in texts for pair in t}))))
+    known = F.array(*[F.array(*map(F.lit, t)) for t in texts])
+    alike = shares & F.exists(known, lambda t: agreement(F.col("pairs"), t) >= CONFIRMED / 2)
+    half = F.pmod(F.xxhash64("paragraph", F.lit("half")), F.lit(2)) == 0
+    plain = store("plain", seen.where(~alike).select(F.lit(UNKNOWN).alias("family"), "vector", half.alias("fit")))
     families = [UNKNOWN, *TEMPLATES]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    examples = _passages(spark).unionByName(plain.where("fit").select("family", "paragraph"))
-    examples = store("examples", examples.withColumn("label", label))
-    sizes = examples.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    passages = store("passages", with_terms(_passages(spark), "paragraph").select("family", "vector"))
+    examples = passages.unionByName(plain.where("fit").select("family", "vector")).withColumn("label", label)
+    sizes = store("sizes", examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
     weight = F.when(F.col("label") == 0, F.lit(UNKNOWN_WEIGHT)).otherwise(F.lit(1.0)) / F.col("n") * 1000
-    weighted = with_terms(examples.join(F.broadcast(sizes), "label").withColumn("weight", weight), "paragraph")
+    weighted = examples.join(F.broadcast(sizes), "label").withColumn("weight", weight)
     regression = LogisticRegression(
         featuresCol="vector", labelCol="label", weightCol="weight", family="multinomial", maxIter=30, regParam=0.0005,
         elasticNetParam=0.5,
     )
     scanner = Scanner(families, regression.fit(weighted.select("vector", "label", "weight")), 0.5)
-    found = scanner.predict(with_terms(plain.where("not fit"), "paragraph").drop("family"))
-    quantile = found.agg(F.expr(f"percentile(likelihood, {1 - FALSE_ALARMS})").alias("q")).first()["q"]
+    quantile = _quantile(scanner.predict(plain.where("not fit").drop("family")), 1 - FALSE_ALARMS)
     scanner.least = max(0.5, min(0.99, quantile or 0.0))
     return scanner
 

@@ -85,3 +85,19 @@ def test_repeated_lines_do_not_shrink_the_sample(spark):
     rows = [(i, f"boilerplate\n{_prose(i)}" if i < 60 else "boilerplate") for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert licenses.corpus_paragraphs(docs, most=61).count() == 61
+
+
+def test_every_paragraph_trains_or_calibrates(spark, work):
+    rows = [(i, f"river{i} house\nriver{i} garden\nthe same line") for i in range(3600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert licenses.corpus_paragraphs(docs).count() == 7201
+    assert licenses.train(docs, work).least >= 0.5
+    counts = {r.fit: r.n for r in spark.read.parquet(work.path("plain")).groupBy("fit").agg(F.count("*").alias("n")).collect()}
+    assert sum(counts.values()) == 7201 and min(counts.values()) > 3000
+
+
+def test_the_quantile_is_that_of_the_values_between_the_bounds(spark):
+    frame = spark.range(1001).select((F.col("id") / 1000).alias("likelihood"))
+    assert licenses._quantile(frame, 0.75) == 0.75
+    assert (licenses._quantile(frame, 0.1), licenses._quantile(frame, 0.999)) == (0.5, 0.99)
+    assert licenses._quantile(frame.where("likelihood > 2"), 0.5) is None
