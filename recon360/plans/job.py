@@ -13,7 +13,7 @@ from recon360.model import CURATED_COLUMNS, STAGING_COLUMNS, Staging, curated_sc
 from recon360.operators import entity
 from recon360.plans import answers, checks, rules
 from recon360.plans.conform import Customer360, fit
-from recon360.session import prepare, scratch_root
+from recon360.session import input_bytes, prepare, scratch_root, size_for
 from recon360.sources import files, mapping, sinks
 from recon360.sources.store import TableStore, constant_rows
 
@@ -87,6 +87,7 @@ def run(
 ) -> dict[str, DataFrame]:
     """Read, conform, check and answer. Running it again gives the same output."""
     prepare(spark)
+    size_for(spark, input_bytes(spark, input_dir))
     store = TableStore(spark, output_dir)
 
     def metadata(file: str) -> str | None:
@@ -96,7 +97,7 @@ def run(
     mapping_file = metadata(MAPPING_FILE)
     columns = files.load_mapping(spark, mapping_file) if mapping_file else CURATED_COLUMNS
     mapped = mapping.load(spark, mapping_file) if mapping_file else {}
-    work = TableStore(spark, f"{scratch_root(spark)}/job-{uuid.uuid4().hex}")
+    work = TableStore(spark, f"{scratch_root(spark)}/job-{uuid.uuid4().hex}", codec="zstd")
     t = Customer360(load_staging(spark, input_dir, store), store, match_on, curated_schema(columns), work, mapped)
 
     tables = {"id_crosswalk": store("id_crosswalk", t.id_crosswalk), **t.curated()}

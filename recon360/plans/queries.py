@@ -16,7 +16,7 @@ from recon360.operators import survivors as survivor_rules
 from recon360.plans import answers, checks, conform, job, rules
 from recon360.plans.conform import Customer360
 from recon360.plans.history import History, trend
-from recon360.session import prepare, scratch_root
+from recon360.session import input_bytes, prepare, scratch_root, size_for
 from recon360.sources import files, mapping, sinks
 from recon360.sources.bound import BoundStaging
 from recon360.sources.store import TableStore, constant_rows
@@ -32,7 +32,7 @@ class Run(Customer360):
 
     def __init__(self, spark: SparkSession, sf_dir: str, number: int):
         self.spark, self.sf_dir = spark, sf_dir
-        self.files = TableStore(spark, f"{scratch_root(spark)}/run_{number}")
+        self.files = TableStore(spark, f"{scratch_root(spark)}/run_{number}", codec="zstd")
         super().__init__(BoundStaging(spark, sf_dir, self.files), self.files)
         self._exceptions: DataFrame | None = None
 
@@ -60,6 +60,7 @@ def open_run(spark: SparkSession, sf_dir: str) -> Run:
     A folder whose tables were written anew, or a session whose scratch tables were dropped, begins another.
     """
     prepare(spark)
+    size_for(spark, input_bytes(spark, *[f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]))
     key = (scratch_root(spark), str(sf_dir), _modified(spark, str(sf_dir)))
     if key not in _runs:
         _runs[key] = Run(spark, str(sf_dir), len(_runs))

@@ -22,6 +22,21 @@ SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
+# The same for sessions that say nothing else.
+DEFAULTS = {
+    # a task that sorts its part of a file before the shuffle holds many times the bytes of a well compressed file
+    "spark.sql.files.maxPartitionBytes": "32MB",
+    # tables of this size go to every executor
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",  # by the size of files
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "96MB",  # by the rows that were seen
+}
+
+# Input bytes per shuffle partition, before adaptive execution merges what turns out small. A shuffle holds a few
+# times the input, and a task that sorts a partition several times the bytes shuffled.
+BYTES_PER_PARTITION = 8 << 20
+MOST_PARTITIONS = 20_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _roots: dict[str, str] = {}
 _numbers = itertools.count()  # a root that was dropped is not used again
 
@@ -42,6 +57,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of files or folders, on any file system Spark can read."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in found)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle has before small ones are merged."""
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def size_for(spark: SparkSession, n_bytes: int) -> None:
+    """Let shuffles begin with partitions in proportion to the input, where the session has fewer.
+
+    A fixed number makes the partitions, and what a task sorts and spills, grow with the input.
+    """
+    wanted = min(MOST_PARTITIONS, -(-n_bytes // BYTES_PER_PARTITION))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    else:
+        spark.conf.unset(INITIAL_PARTITIONS)
+    for key, value in DEFAULTS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder of this application's intermediate tables, below the one ``spark.checkpoint.dir`` names.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recon360.model import SEQ, STAGING_COLUMNS
@@ -105,13 +105,19 @@ def bind_products(part: DataFrame) -> DataFrame:
 
 
 def bind_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """Order rows plus the helper columns ``_orderkey``, ``_orderdate`` and ``_total``."""
+    """Order rows plus the helper columns ``_orderkey``, ``_orderdate``, ``_total`` and ``_place``.
+
+    ``_place`` counts the rows of one order id by ``_seq``: these lie together after the join by order.
+    """
     lines = lineitem.select(*LINE_COLUMNS)
     heads = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     prices = part.select("p_partkey", "p_retailprice")
-    rows = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        prices, F.col("l_partkey") == F.col("p_partkey")
+    rows = lines.join(prices, F.col("l_partkey") == F.col("p_partkey")).join(
+        heads, F.col("l_orderkey") == F.col("o_orderkey")
     )
+    seq = F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(seq))
+    rows = rows.withColumn("_place", place)
     k, cust, item = F.col("l_orderkey"), F.col("o_custkey"), F.col("l_partkey")
     no_number = k % 223 == 5
     pieces = F.col("l_quantity").cast("int")
@@ -139,17 +145,21 @@ def bind_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
         .alias("order_status"),
         _states(cust).alias("shipping_state"),
         total.cast("string").alias("order_total"),
-        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias(SEQ),
+        seq.alias(SEQ),
         k.alias("_orderkey"),
         at.alias("_orderdate"),
         total.alias("_total"),
+        "_place",
     )
 
 
 def bind_payments(orders: DataFrame) -> DataFrame:
     """One payment for the first row of most order ids, two for some."""
     k, total = F.col("_orderkey"), F.col("_total")
-    paid = dedup.keep_first(orders.select("order_id", SEQ, "_orderkey", "_orderdate", "_total"), "order_id")
+    columns = ("order_id", SEQ, "_orderkey", "_orderdate", "_total")
+    first = orders.where("order_id is not null and _place = 1").select(*columns)
+    # rows without an id are one id together, whatever their order
+    paid = first.unionByName(dedup.keep_first(orders.where("order_id is null").select(*columns), "order_id"))
     status = F.when(k % 19 == 0, "refunded").when(k % 23 == 0, "voided").otherwise("settled")
     extra = F.when(k % 59 == 0, 5).otherwise(0).cast("decimal(18,2)")
     amount = (

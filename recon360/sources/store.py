@@ -20,10 +20,12 @@ class TableStore:
 
     The scan has no lineage behind it, knows its size, prunes columns, and outlives lost executors.
     A name that is written again gets a folder of its own, so frames read from the first stay valid.
+    ``codec`` compresses the files by other than the session's codec.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, codec: str | None = None):
         self.spark = spark
+        self.codec = codec
         self.root = root.rstrip("/")
         self._times: dict[str, int] = {}
 
@@ -37,5 +39,5 @@ class TableStore:
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         path = self.fresh(name)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=self.codec)
         return self.spark.read.schema(df.schema).parquet(path)
