@@ -68,7 +68,12 @@ def order_amounts(orders: DataFrame) -> DataFrame:
 
 def fact_order(orders: DataFrame, clusters: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order id; unknown customers and products leave NULL keys."""
-    parsed = dedup.keep_first(orders, "order_id").select(
+    return order_facts(dedup.keep_first(orders, "order_id"), clusters, products)
+
+
+def order_facts(orders: DataFrame, clusters: DataFrame, products: DataFrame) -> DataFrame:
+    """The fact of each raw order; ``orders`` has one row per id."""
+    parsed = orders.select(
         F.col("order_id").alias("order_key"),
         "customer_id",
         "product_id",

@@ -27,7 +27,7 @@ class OrderFacts:
         new = self.mark.new_rows(orders) if self.mark else orders
         touched = self.raw.upsert(new.drop(self.mark.column) if self.mark else new)
         if touched:
-            rows = conform.fact_order(self.raw.read(touched), clusters, products)
+            rows = conform.order_facts(self.raw.read(touched), clusters, products)
             self.facts.replace(conform.fit(rows, curated_schema()["fact_order"]))
         if self.mark:
             self.mark.advance(new)

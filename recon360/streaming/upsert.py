@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recon360.session import shuffle_partitions
+
 BUCKET = "_bucket"
+SLICE = "_slice"
 
 
 class KeyedTable:
@@ -45,9 +48,11 @@ class KeyedTable:
         return self.read(self.touched(df))
 
     def replace(self, rows: DataFrame) -> None:
-        """Write whole buckets in the place of what they held."""
-        bucketed = self._bucketed(rows)
-        bucketed.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+        """Write whole buckets in the place of what they held; a large bucket is dealt to many tasks by key."""
+        slices = -(-shuffle_partitions(self.spark) // self.buckets)
+        piece = F.pmod(F.xxhash64(F.lit(SLICE), *self.keys), F.lit(slices)).cast("int")
+        spread = self._bucketed(rows).withColumn(SLICE, piece).repartition(BUCKET, SLICE).drop(SLICE)
+        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path, compression="zstd")
 
     def upsert(self, batch: DataFrame) -> list[int]:
         """Merge the batch; returns the buckets that were written."""
