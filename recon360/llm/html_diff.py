@@ -12,6 +12,7 @@ Menus, forms and the like that differ from page to page go by what their element
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections import Counter, deque
 from collections.abc import Iterator, Sequence, Set
@@ -451,12 +452,23 @@ def neighbours(hashed: DataFrame, store: TableStore, reach: int = 1) -> DataFram
     return both.select("page", F.explode("others").alias("other")).where("other is not null")
 
 
+def pack_lines(page: list[Line], press: zstandard.ZstdCompressor) -> bytes:
+    """The lines of a page, compressed: they cross the network once and are less than the page with its markup."""
+    marks = [2 * line.main + line.unwanted for line in page]
+    texts = "\n".join(line.text for line in page)  # no line has a line end
+    return press.compress(json.dumps([marks, texts], ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass"))
+
+
+def unpack_lines(packed: bytes, unpress: zstandard.ZstdDecompressor) -> list[Line]:
+    marks, texts = json.loads(unpress.decompress(packed).decode("utf-8", "surrogatepass"))
+    return [Line(text, mark >> 1, bool(mark & 1)) for mark, text in zip(marks, texts.split("\n"), strict=bool(marks))]
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first column, a page, as a compressed one: pages cross the network once and are mostly markup."""
-    press = zstandard.ZstdCompressor(level=3)
+    """The first column, a page, as its packed lines."""
+    press = zstandard.ZstdCompressor(level=9)
     for batch in text_slices(batches):
-        pages = batch.column(0).cast(pa.binary()).to_pylist()
-        packed = pa.array([None if p is None else press.compress(p) for p in pages], pa.binary())
+        packed = pa.array([pack_lines(lines(p), press) for p in batch.column(0).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([packed, *batch.columns[1:]], ["packed", *batch.schema.names[1:]])
 
 
@@ -465,7 +477,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         texts = []
         for packed, path, others in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            found = lines(None if packed is None else unpress.decompress(packed).decode())
+            found = unpack_lines(packed, unpress)
             near = [(o["path"], o["hashes"]) for o in others or ()]
             texts.append(main_text(found, shared_lines(found, path or "", near), recurring_lines(found, near)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
@@ -481,13 +493,14 @@ def extract(pages: DataFrame, store: TableStore) -> DataFrame:
     """
     rows = pick(pages, "page_id", "url", "html")
     filled = F.coalesce("url", F.lit(""))
+    path = F.regexp_replace(F.regexp_replace(filled, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"[?#][\s\S]*$", "").alias("path")
     located = rows.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         "url",
         "html",
         F.xxhash64("page_id", "url", "html").alias("page"),
         F.lower(F.regexp_extract(filled, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
-        F.regexp_replace(F.regexp_replace(filled, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"[?#][\s\S]*$", "").alias("path"),
+        path,
     )
     hashed = store(
         "lines",
@@ -519,8 +532,8 @@ def extract(pages: DataFrame, store: TableStore) -> DataFrame:
         of_first = store("of_first", met_with(pairs.join(copied.select("page"), "page", "left_semi")).withColumnRenamed("page", "one"))
         copies = marked.join(copied.select("host", "digest", F.col("page").alias("one")), ["host", "digest"]).where("page <> one")
         others = others.unionByName(store("copies", copies.select("page", "one").distinct()).join(of_first, "one").select("page", "others"))
-    kinds = "packed binary, page_id long, url string, path string, page long"
-    packed = located.select("html", "page_id", "url", "path", "page").mapInArrow(_pack, kinds)
+    kinds = "packed binary, page_id long, url string, page long"
+    packed = located.select("html", "page_id", "url", "page").mapInArrow(_pack, kinds)
     met = packed.join(others, "page", "left")
-    texts = met.select("page_id", "url", "packed", "path", "others").mapInArrow(_extract, "page_id long, url string, text string")
+    texts = met.select("page_id", "url", "packed", path, "others").mapInArrow(_extract, "page_id long, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

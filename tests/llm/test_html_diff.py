@@ -2,6 +2,7 @@ import random
 import time
 
 import pytest
+import zstandard
 
 from recon360.llm import html_diff as h
 
@@ -182,3 +183,13 @@ def test_elements_around_the_text_are_wanted():
     assert _own(f'<div class="header"><p>{"text " * 9}</p><nav>no</nav></div><div class="comments">nice</div>') == [("text " * 9).strip()]
     # comments are articles of their own where the page has its article
     assert _own(f'<article>text</article><section class="comments"><article>{"nice " * 9}</article></section>') == ["text"]
+
+
+def test_packed_lines_come_back_and_are_less_than_the_page():
+    press, unpress = zstandard.ZstdCompressor(level=9), zstandard.ZstdDecompressor()
+    random.seed(3)
+    story = " ".join(str(random.random()) for _ in range(40))
+    marked = "".join(f'<div class="c{random.random()}">{part}</div>' for part in story.split())
+    for page in (None, "", "<p></p>", "<p>\u2028 a\x1f\x00b &#x85;<p>\U0001f600 &#xD800; \\ \"", f"<nav>Menu</nav><main>{marked}</main><article>x</article>"):
+        assert h.unpack_lines(h.pack_lines(h.lines(page), press), unpress) == h.lines(page)
+    assert len(h.pack_lines(h.lines(marked), press)) < 0.6 * len(press.compress(marked.encode()))
