@@ -149,18 +149,16 @@ def paragraphs(text: Column) -> Column:
 
 
 def words(paragraph: Column) -> Column:
-    return F.filter(F.split(F.lower(paragraph), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(paragraph), r"[^\p{L}\p{N}]+"), "")
 
 
 def bigrams(of: Column) -> Column:
     """Pairs of neighbouring words in an array of words."""
-    return let(
-        of,
-        lambda w: F.transform(
-            F.filter(F.sequence(F.lit(0), F.size(w)), lambda i: i < F.size(w) - 1),
-            lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)),
-        ),
-    )
+    def pairs(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+    return let(of, pairs)
 
 
 def with_terms(df: DataFrame, paragraph: str) -> DataFrame:
@@ -211,10 +209,11 @@ class Scanner:
         )
 
 
-def agreement(pairs: Column, template: Column) -> Column:
-    """Share of common 2-grams, of the shorter of both sides."""
+def agreement(pairs: Column, template: Column, common: Column | None = None) -> Column:
+    """Share of common 2-grams, of the shorter of both sides. ``common``: those pairs alone that may be the template's."""
     shorter = F.least(F.size(pairs), F.size(template))
-    return F.coalesce(F.try_divide(F.size(F.array_intersect(pairs, template)), shorter), F.lit(0.0))
+    both = F.array_intersect(template, pairs if common is None else common)
+    return F.coalesce(F.try_divide(F.size(both), shorter), F.lit(0.0))
 
 
 def corpus_paragraphs(docs: DataFrame, most: int | None = None) -> DataFrame:
@@ -234,21 +233,38 @@ def _quantile(likelihoods: DataFrame, share: float) -> float | None:
     return counts.agg(F.expr(f"percentile(value, {share}, n)").alias("q")).first()["q"]
 
 
-def train(docs: DataFrame, store: TableStore) -> Scanner:
-    """Fit on the licence passages and half of the corpus's different paragraphs, calibrate on the other half.
+def paragraph_vectors(docs: DataFrame, store: TableStore) -> DataFrame:
+    """(key, vector, fit) of every different paragraph, written once for ``train`` and ``scan``.
 
-    Paragraphs that agree with a licence text are left out of both. An empty corpus leaves the passages
-    alone.
+    ``fit`` is true for the half that trains, false for the half that calibrates, and null for paragraphs
+    that agree with a licence text, which do neither. ``key`` is a hash; paragraphs may share one.
     """
     spark = docs.sparkSession
     seen = with_terms(corpus_paragraphs(pick(docs, "doc_id", "text")), "paragraph")
     texts = [t["pairs"] for t in templates(spark).collect()]  # the fixed texts
-    # without a pair of any text, the texts need not be looked at one by one
-    shares = F.arrays_overlap("pairs", F.array(*map(F.lit, sorted({pair for t in texts for pair in t}))))
+    # few pairs are of any text; what is no more than those cannot agree with most of the texts
+    theirs = sorted({pair for t in texts for pair in t})
+    seen = seen.withColumn("common", F.array_distinct(F.filter("pairs", lambda pair: pair.isin(theirs))))
+
+    def alike(t: Column) -> Column:
+        least = F.least(F.size("pairs"), F.size(t)) * F.lit(CONFIRMED / 2)
+        return (F.size("common") >= least) & (agreement(F.col("pairs"), t, F.col("common")) >= CONFIRMED / 2)
+
     known = F.array(*[F.array(*map(F.lit, t)) for t in texts])
-    alike = shares & F.exists(known, lambda t: agreement(F.col("pairs"), t) >= CONFIRMED / 2)
+    plain = F.when(F.size("common") > 0, ~F.exists(known, alike)).otherwise(F.lit(True))
     half = F.pmod(F.xxhash64("paragraph", F.lit("half")), F.lit(2)) == 0
-    plain = store("plain", seen.where(~alike).select(F.lit(UNKNOWN).alias("family"), "vector", half.alias("fit")))
+    return store("plain", seen.select(F.xxhash64("paragraph").alias("key"), "vector", F.when(plain, half).alias("fit")))
+
+
+def train(docs: DataFrame, store: TableStore, seen: DataFrame | None = None) -> Scanner:
+    """Fit on the licence passages and half of the corpus's different paragraphs, calibrate on the other half.
+
+    Paragraphs that agree with a licence text are left out of both. An empty corpus leaves the passages
+    alone. ``seen`` are the corpus's ``paragraph_vectors``, if they are there already.
+    """
+    spark = docs.sparkSession
+    seen = paragraph_vectors(docs, store) if seen is None else seen
+    plain = seen.select(F.lit(UNKNOWN).alias("family"), "vector", "fit")
     families = [UNKNOWN, *TEMPLATES]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
     passages = store("passages", with_terms(_passages(spark), "paragraph").select("family", "vector"))
@@ -266,16 +282,22 @@ def train(docs: DataFrame, store: TableStore) -> Scanner:
     return scanner
 
 
-def scan(docs: DataFrame, scanner: Scanner, store: TableStore) -> DataFrame:
+def scan(docs: DataFrame, scanner: Scanner, store: TableStore, seen: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, n_paragraphs, n_licensed, families, n_unconfirmed, likelihood.
 
     n_licensed counts paragraphs that a family's text confirms, ``families`` names those families in
     order, n_unconfirmed counts predictions that no text confirms, ``likelihood`` is the highest
     probability of a confirmed paragraph (null without one). A null or empty text has no paragraphs;
-    null ids and repeated rows give a row each; other columns are ignored.
+    null ids and repeated rows give a row each; other columns are ignored. ``seen`` are the documents'
+    ``paragraph_vectors``, if they are there already: then only lines with the key of a paragraph in which
+    a family is predicted are looked at again.
     """
     rows = pick(docs, "doc_id", "text").withColumn("_hash", text_hash(F.col("text")))
     lines = rows.select("doc_id", "_hash", F.posexplode(paragraphs(F.col("text"))).alias("place", "paragraph"))
+    if seen is not None:
+        likely = store("likely", scanner.predict(seen).where(F.col("family") != UNKNOWN).select("key").distinct())
+        # written, as the filter on the family would move below the join and the model run on every line
+        lines = store("lines", lines.withColumn("key", F.xxhash64("paragraph")).join(likely, "key", "left_semi").drop("key"))
     found = scanner.predict(with_terms(lines, "paragraph")).where(F.col("family") != UNKNOWN)
     hits = store("hits", found.select("doc_id", "_hash", "place", "family", "likelihood", F.array_distinct("pairs").alias("pairs")))
     texts = templates(docs.sparkSession).withColumnRenamed("pairs", "template")

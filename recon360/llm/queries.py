@@ -101,7 +101,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = workspace(spark, "licenses")
     docs = _table(spark, sf_dir, "documents")
-    return licenses.scan(docs, licenses.train(docs, store), store)
+    seen = licenses.paragraph_vectors(docs, store)
+    return licenses.scan(docs, licenses.train(docs, store, seen), store, seen)
 
 
 def op11_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,23 @@ def test_the_quantile_is_that_of_the_values_between_the_bounds(spark):
     assert licenses._quantile(frame, 0.75) == 0.75
     assert (licenses._quantile(frame, 0.1), licenses._quantile(frame, 0.999)) == (0.5, 0.99)
     assert licenses._quantile(frame.where("likelihood > 2"), 0.5) is None
+
+
+def test_vectors_that_are_there_give_the_same_result(spark, corpus, scanner, work):
+    seen = licenses.paragraph_vectors(corpus, work)
+    assert {r.fit for r in seen.select("fit").distinct().collect()} == {True, False, None}  # notices do neither
+    plain = {r.doc_id: r for r in licenses.scan(corpus, scanner, work).collect()}
+    again = {r.doc_id: r for r in licenses.scan(corpus, scanner, type(work)(spark, work.path("seen")), seen).collect()}
+    assert plain == again and sum(r.n_licensed for r in again.values()) == 25
+    # only lines with a prediction are looked at again
+    assert spark.read.parquet(work.path("seen/lines")).count() < 40
+
+
+def test_agreement_may_be_of_the_pairs_of_any_text_alone(spark):
+    frame = spark.createDataFrame([(["a b", "b c", "c d", "d e"], ["b c"], ["b c", "x y"])], "p array<string>, c array<string>, t array<string>")
+    assert frame.select(licenses.agreement(F.col("p"), F.col("t"), F.col("c")).alias("a")).first().a == 0.5
+
+
+def test_pairs_of_words(spark):
+    frame = spark.createDataFrame([("",), ("one",), ("One two",), ("a, b  c",)], "t string")
+    assert [r.p for r in frame.select(licenses.bigrams(licenses.words(F.col("t"))).alias("p")).collect()] == [[], [], ["one two"], ["a b", "b c"]]
