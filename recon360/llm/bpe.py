@@ -64,6 +64,7 @@ def byte_characters() -> list[str]:
 
 BYTE_CHARACTERS = byte_characters()
 _TO_CHARACTERS = dict(enumerate(BYTE_CHARACTERS))
+_SPACE = BYTE_CHARACTERS[0x20]
 _TO_BYTE = {c: b for b, c in enumerate(BYTE_CHARACTERS)}
 
 
@@ -113,8 +114,12 @@ def spaces_meet(text: str) -> bool:
     return _SPACES_MEET.search(text) is not None
 
 
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(REMEMBERED_LENGTH)]
+
+
 def little_endian(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACKERS[n](*ids) if n < REMEMBERED_LENGTH else struct.pack(f"<{n}I", *ids)
 
 
 class Codec:
@@ -157,6 +162,8 @@ class Codec:
 
     def after_space(self, text: str) -> bytes:
         """Ids of a space and what follows it up to the next one."""
+        if text.isascii() and text.isalpha():  # these letters stand for themselves
+            return little_endian([t.id for t in self.model.tokenize(_SPACE + text)])
         found = _MARKED_WORD.match(text)
         if found:
             mark = found[1]

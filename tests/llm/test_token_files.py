@@ -69,3 +69,14 @@ def test_names_of_special_tokens_are_read_as_the_library_reads_them(spark, work)
     expected = [library.encode(t, add_special_tokens=False).ids + [2] for _, t in texts]
     assert 50256 in expected[0] and expected[2] == [50256] * 3 + [2]
     assert token_files.read_range(spark, work.path("ids"), 0, sum(map(len, expected))).tolist() == sum(expected, [])
+
+
+def test_words_of_plain_letters_go_straight_to_the_merges(monkeypatch):
+    codec = bpe.Codec(FILES_VOCABULARY, open(PATH, "rb").read())
+    words = ["the", "Zyxwvut", "a", "enoiment", "x" * 300]
+    expected = [codec.tokenizer.encode(" " + w, add_special_tokens=False).ids for w in words]
+    monkeypatch.setattr(bpe, "_MARKED_WORD", None)
+    monkeypatch.setattr(bpe, "as_characters", None)
+    assert [np.frombuffer(codec.after_space(w), "<u4").tolist() for w in words] == expected
+    for n in (0, 1, bpe.REMEMBERED_LENGTH - 1, bpe.REMEMBERED_LENGTH, 500):
+        assert bpe.little_endian(list(range(n))) == np.arange(n, dtype="<u4").tobytes()
